@@ -17,7 +17,7 @@ class CalendarSummary:
     first: int | None
     last: int | None
     size: int
-    one_date_per_index: bool
+    one_index_per_date: bool
 
 
 def summarise_calendar(calendar: DataFrame) -> CalendarSummary:
@@ -25,7 +25,6 @@ def summarise_calendar(calendar: DataFrame) -> CalendarSummary:
         F.count(F.lit(1)).alias("rows"),
         F.min("absolute_time_index").alias("first"),
         F.max("absolute_time_index").alias("last"),
-        F.countDistinct("absolute_time_index").alias("indexes"),
         F.countDistinct("granular_date").alias("dates"),
         F.coalesce(F.sum(row_bytes(calendar)), F.lit(0)).alias("size"),
     ).first()
@@ -33,7 +32,7 @@ def summarise_calendar(calendar: DataFrame) -> CalendarSummary:
         first=row["first"],
         last=row["last"],
         size=row["size"],
-        one_date_per_index=row["rows"] == row["indexes"] == row["dates"],
+        one_index_per_date=row["rows"] == row["dates"],
     )
 
 

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from viewloom.functions import or_empty
 from viewloom.operators.references import malformed_references, unknown_catalogs
 from viewloom.schemas import CALENDAR_COLUMNS, FILTERED_COLUMNS, OPERATORS, SIMULATION_COLUMNS
 
@@ -86,7 +87,7 @@ def category_violations(terms: DataFrame, taxonomy: DataFrame) -> DataFrame:
         terms.join(known, "taxonomy_category", "left_anti"),
         "unknown_category",
         F.concat_ws(".", "catalog_key", "metric_id"),
-        F.col("taxonomy_category"),
+        or_empty(F.col("taxonomy_category")),
     )
 
 

@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 from viewloom.functions import is_wellformed_reference, reference_catalog, reference_metric
 
 
+def parse_references(references: DataFrame) -> DataFrame:
+    """Well-formed references as (pos, catalog_key, metric_id)."""
+    return references.filter(is_wellformed_reference(F.col("reference"))).select(
+        "pos",
+        reference_catalog(F.col("reference")).alias("catalog_key"),
+        reference_metric(F.col("reference")).alias("metric_id"),
+    )
+
+
 def metric_references(references: DataFrame) -> DataFrame:
     """Well-formed references as (catalog_pos, pos, catalog_key, metric_id).
 
@@ -17,11 +26,7 @@ def metric_references(references: DataFrame) -> DataFrame:
     (catalog_pos, pos). The pair replaces a global row number, which would need every
     reference in one task.
     """
-    parsed = references.filter(is_wellformed_reference(F.col("reference"))).select(
-        "pos",
-        reference_catalog(F.col("reference")).alias("catalog_key"),
-        reference_metric(F.col("reference")).alias("metric_id"),
-    )
+    parsed = parse_references(references)
     first_mention = parsed.groupBy("catalog_key").agg(F.min("pos").alias("catalog_pos"))
     return parsed.join(first_mention, "catalog_key").select("catalog_pos", "pos", "catalog_key", "metric_id")
 
@@ -38,10 +43,31 @@ def latest_definitions(definitions: DataFrame, keys: Sequence[str], order: str)
 
 
 def resolve_references(references: DataFrame, metrics: DataFrame) -> DataFrame:
-    """References (of ``metric_references``) with the operators of their metric."""
+    """References (catalog_key, metric_id) with the operators of their metric."""
     return references.join(metrics, ["catalog_key", "metric_id"], "inner")
 
 
+def judged_references(references: DataFrame, catalogs: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Every reference with its metric's operators and a ``problem``, null where it can be built."""
+    catalog_ids = catalogs.select("catalog_key", F.lit(True).alias("_catalog")).distinct()
+    found = (
+        references.withColumn("_wellformed", is_wellformed_reference(F.col("reference")))
+        .withColumn("catalog_key", F.when(F.col("_wellformed"), reference_catalog(F.col("reference"))))
+        .withColumn("metric_id", F.when(F.col("_wellformed"), reference_metric(F.col("reference"))))
+        .join(catalog_ids, "catalog_key", "left")
+        .join(metrics, ["catalog_key", "metric_id"], "left")
+    )
+    problem = (
+        F.when(~F.col("_wellformed"), "reference_format")
+        .when(F.col("_catalog").isNull(), "unknown_catalog")
+        .when(F.col("terms_operator").isNull(), "unknown_metric")
+        .when(F.col("time_operator") != "sum", "time_operator")
+    )
+    return found.select(
+        "pos", "reference", "catalog_key", "metric_id", "terms_operator", "time_operator", problem.alias("problem")
+    )
+
+
 def unknown_catalogs(references: DataFrame, catalogs: DataFrame) -> DataFrame:
     return references.join(catalogs, "catalog_key", "left_anti")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from viewloom.functions import qualified_model
 from viewloom.operators.joins import DEFAULT_LIMITS, Limits, lookup_join
 from viewloom.operators.locating import locate
+from viewloom.staging import stage
 
 METRIC_KEYS = ["catalog_key", "metric_id"]
 
@@ -42,6 +43,19 @@ def instances_of_model(components: DataFrame, model_ref: str) -> DataFrame:
     return components_by_model(components).filter(F.col("model_ref") == model_ref).select("component")
 
 
+def model_terms(metrics: DataFrame, terms: DataFrame, models: DataFrame) -> DataFrame:
+    """Terms of ``metrics`` with the qualified models of their category."""
+    categories = (
+        categorised_models(models)
+        .select("taxonomy_category", qualified_model(F.col("library_id"), F.col("model_id")).alias("model_ref"))
+        .groupBy("taxonomy_category", "model_ref")
+        .agg(F.count(F.lit(1)).alias("_models"))
+    )
+    return terms.join(metrics.select(*METRIC_KEYS, "terms_operator"), METRIC_KEYS).join(
+        categories, "taxonomy_category"
+    )
+
+
 def metric_structure(
     metrics: DataFrame,
     terms: DataFrame,
@@ -61,15 +75,7 @@ def metric_structure(
         .groupBy("component", "model_ref")
         .agg(F.count(F.lit(1)).alias("_instances"))
     )
-    categories = (
-        categorised_models(models)
-        .select("taxonomy_category", qualified_model(F.col("library_id"), F.col("model_id")).alias("model_ref"))
-        .groupBy("taxonomy_category", "model_ref")
-        .agg(F.count(F.lit(1)).alias("_models"))
-    )
-    wanted = terms.join(metrics.select(*METRIC_KEYS, "terms_operator"), METRIC_KEYS).join(
-        categories, "taxonomy_category"
-    )
+    wanted = stage(model_terms(metrics, terms, models), "model_terms")
     rows = lookup_join(instances, wanted, ["model_ref"], limits).withColumn(
         "_copies", F.col("_instances") * F.col("_models")
     )

@@ -11,7 +11,7 @@ from viewloom.operators import checks
 from viewloom.operators.aggregate import METRIC_GROUP, attach_structure, terms_values, time_values, view_values
 from viewloom.operators.calendar import calendar_violations, filter_by_calendar, summarise_calendar
 from viewloom.operators.joins import DEFAULT_LIMITS, Limits, fits, row_bytes
-from viewloom.operators.references import metric_references, resolve_references, unknown_metrics
+from viewloom.operators.references import judged_references, parse_references, resolve_references
 from viewloom.operators.structure import METRIC_KEYS, metric_structure
 from viewloom.schemas import VIEW_COLUMNS
 from viewloom.sources.study import Study
@@ -22,6 +22,11 @@ log = logging.getLogger(__name__)
 
 MAX_PUSHED_OUTPUTS = 500
 SPREAD = 32
+REFERENCE_ERRORS = {
+    "reference_format": ValueError,
+    "unknown_catalog": KeyError,
+    "time_operator": NotImplementedError,
+}
 
 
 def validate_study(study: Study) -> None:
@@ -43,25 +48,37 @@ def validate_study(study: Study) -> None:
     )
 
 
-def _check_references(study: Study, references: DataFrame) -> None:
-    checks.assert_clean(checks.reference_violations(study.references))
-    checks.assert_clean(checks.catalog_reference_violations(references, study.catalogs), KeyError)
-    checks.assert_clean(
-        checks.time_operator_violations(resolve_references(references, study.metrics)), NotImplementedError
+def _usable_references(study: Study) -> DataFrame:
+    """References that the view is built from, staged. Raises for malformed ones, unknown
+    catalogs and unsupported time operators; warns of unknown metrics and skips them."""
+    judged = stage(judged_references(study.references, study.catalogs, study.metrics), "references")
+    problems = judged.filter(F.col("problem").isNotNull()).groupBy("problem").agg(
+        F.count(F.lit(1)).alias("n"), F.min_by("reference", "pos").alias("first")
     )
-    for row in unknown_metrics(references, study.metrics).limit(checks.SHOWN).collect():
-        log.warning("Metric %s not found in catalog %s", row["metric_id"], row["catalog_key"])
+    found = {row["problem"]: row for row in problems.collect()}  # one row per kind
+    for problem, error in REFERENCE_ERRORS.items():
+        if problem in found:
+            row = found[problem]
+            raise error(f"{problem}: {row['n']} reference(s), the first is '{row['first']}'")
+    if "unknown_metric" in found:
+        unknown = judged.filter(F.col("problem") == "unknown_metric").orderBy("pos").limit(checks.SHOWN)
+        for row in unknown.collect():
+            log.warning("Metric %s not found in catalog %s", row["metric_id"], row["catalog_key"])
+        if found["unknown_metric"]["n"] > checks.SHOWN:
+            log.warning("%d metric references skipped in all", found["unknown_metric"]["n"])
+    return judged.filter(F.col("problem").isNull()).drop("problem", "reference")
 
 
-def selected_metrics(study: Study) -> DataFrame:
-    """Distinct metrics that the view references and a catalog defines."""
-    references = metric_references(study.references)
-    return resolve_references(references, study.metrics).select(*METRIC_KEYS, "terms_operator").distinct()
+def selected_metrics(references: DataFrame) -> DataFrame:
+    """Distinct metrics of resolved references."""
+    return references.select(*METRIC_KEYS, "terms_operator").distinct()
 
 
 def study_structure(study: Study, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+    """Structure of all metrics that the view references and a catalog defines."""
+    resolved = resolve_references(parse_references(study.references), study.metrics)
     return metric_structure(
-        selected_metrics(study), study.terms, study.models, study.components, study.connections, limits
+        selected_metrics(resolved), study.terms, study.models, study.components, study.connections, limits
     )
 
 
@@ -75,53 +92,53 @@ def build_view(study: Study, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     * A metric referenced twice is aggregated once; its rows repeat at the end.
     * Rows are grouped by a fingerprint of (catalog, metric, location) instead of those
       texts, after checking that the fingerprints do not collide; otherwise by the texts.
-    * Time aggregation folds into terms aggregation where the calendar has one date per
-      index, or no metric takes a mean.
+    * Time aggregation folds into terms aggregation where the calendar has one index per
+      date, or no metric takes a mean.
     """
-    references = metric_references(study.references)
-    _check_references(study, references)
+    references = _usable_references(study)
+    structure = metric_structure(
+        selected_metrics(references), study.terms, study.models, study.components, study.connections, limits
+    )
     fingerprint = F.xxhash64(*(F.col(c) for c in METRIC_GROUP))
-    structure = stage(study_structure(study, limits).withColumn("group_id", fingerprint), "structure")
-    links_bytes = row_bytes(structure.select("component", "output", "group_id", "terms_operator", "copies"))
-    facts = structure.agg(
-        F.coalesce(F.sum(links_bytes), F.lit(0)).alias("links_bytes"),
+    structure = stage(structure.withColumn("group_id", fingerprint), "structure")
+    link_bytes = row_bytes(structure.select("component", "output", "group_id", "terms_operator", "copies"))
+    measured = structure.agg(
+        F.coalesce(F.sum(link_bytes), F.lit(0)).alias("link_bytes"),
         F.count("location_problem").alias("problems"),
         F.count_if(F.col("terms_operator") == "avg").alias("means"),
         F.countDistinct("group_id").alias("fingerprints"),
         F.countDistinct(*METRIC_GROUP).alias("groups"),
     ).first()
-    if facts["problems"]:
+    if measured["problems"]:
         checks.assert_clean(checks.location_violations(structure))
 
     summary = summarise_calendar(study.calendar)
     simulation = study.simulation
-    outputs = [
-        row["output"] for row in structure.select("output").distinct().limit(MAX_PUSHED_OUTPUTS + 1).collect()
-    ]
+    outputs = structure.select("output").distinct().limit(MAX_PUSHED_OUTPUTS + 1).collect()
     if len(outputs) <= MAX_PUSHED_OUTPUTS:
-        simulation = simulation.filter(F.col("output").isin(outputs))
+        simulation = simulation.filter(F.col("output").isin([row["output"] for row in outputs]))
     filtered = filter_by_calendar(simulation, study.calendar, limits, summary)
 
-    keys = ["group_id"] if facts["fingerprints"] == facts["groups"] else METRIC_GROUP
+    keys = ["group_id"] if measured["fingerprints"] == measured["groups"] else METRIC_GROUP
     links = structure.select("component", "output", *keys, (F.col("terms_operator") == "avg").alias("is_avg"), "copies")
-    joined = attach_structure(filtered, links, limits, facts["links_bytes"] <= limits.broadcast_bytes)
-    if summary.one_date_per_index or not facts["means"]:
+    joined = attach_structure(filtered, links, limits, measured["link_bytes"] <= limits.broadcast_bytes)
+    if summary.one_index_per_date or not measured["means"]:
         values = view_values(joined, keys)
     else:
         values = time_values(terms_values(joined, keys), keys)
 
     groups = structure.select(*dict.fromkeys([*keys, *METRIC_GROUP])).distinct()
-    labelled = references.select("pos", *METRIC_KEYS).join(groups, METRIC_KEYS)
-    return _label(values, labelled, keys, limits).select(*VIEW_COLUMNS)
+    labels = references.select("pos", *METRIC_KEYS).join(groups, METRIC_KEYS)
+    return _label(values, labels, keys, limits).select(*VIEW_COLUMNS)
 
 
-def _label(values: DataFrame, labelled: DataFrame, keys: list[str], limits: Limits) -> DataFrame:
+def _label(values: DataFrame, labels: DataFrame, keys: list[str], limits: Limits) -> DataFrame:
     """Puts texts and repeated references back. Rows of ``values`` are unique per group,
     scenario and date, so those spread a large group when the labels are too many to broadcast."""
-    if fits(labelled, limits):
-        return values.join(F.broadcast(labelled), keys)
+    if fits(labels, limits):
+        return values.join(F.broadcast(labels), keys)
     ways = values.withColumn("_way", F.pmod(F.xxhash64("scenario", "view_date"), F.lit(SPREAD)))
-    repeated = labelled.withColumn("_way", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
+    repeated = labels.withColumn("_way", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
     return ways.join(repeated, [*keys, "_way"])
 
 
