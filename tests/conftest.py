@@ -1,4 +1,5 @@
 import os
+from dataclasses import fields, replace
 
 import pytest
 from pyspark.sql import SparkSession
@@ -14,6 +15,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .getOrCreate()
@@ -36,4 +38,10 @@ def two_bus_dir(spark, tmp_path_factory):
 def two_bus(spark, two_bus_dir):
     from viewloom import load_study
 
-    return load_study(spark, str(two_bus_dir), suffix="json")
+    study = load_study(spark, str(two_bus_dir), suffix="json")
+    tables = {
+        f.name: spark.createDataFrame(getattr(study, f.name).toArrow())
+        for f in fields(study)
+        if f.name not in ("view", "simulation")
+    }
+    return replace(study, **tables)

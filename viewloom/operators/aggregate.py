@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from viewloom.functions import pick_terms_value, zero_sum
 from viewloom.operators.joins import DEFAULT_LIMITS, Limits, fits, key_counts, split_join
 from viewloom.schemas import GRANULAR_COLUMNS, VIEW_COLUMNS
+from viewloom.staging import stage
 
 SERIES = ["component", "output"]
 METRIC_GROUP = ["catalog_key", "metric_id", "metric_location", "breakdown_properties"]
@@ -73,7 +74,7 @@ def view_values(joined: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _as_links(structure: DataFrame) -> DataFrame:
     links = structure.withColumn("is_avg", F.col("terms_operator") == "avg").drop(
-        "terms_operator", "weight_output_id", "location_problem"
+        "terms_operator", "weight_output_id", "location_problem", "mentions"
     )
     if "copies" not in links.columns:
         links = links.withColumn("copies", F.lit(1))
@@ -88,7 +89,8 @@ def aggregate_terms(filtered: DataFrame, structure: DataFrame, limits: Limits =
     """
     keys = [k for k in METRIC_GROUP if k in structure.columns]
     extra = [k for k in keys if k not in GRANULAR_COLUMNS]
-    joined = attach_structure(filtered, _as_links(structure), limits)
+    links = stage(_as_links(structure), "links")  # used several times below
+    joined = attach_structure(filtered, links, limits)
     return terms_values(joined, keys).select(*extra, *GRANULAR_COLUMNS)
 
 

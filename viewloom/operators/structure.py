@@ -51,9 +51,7 @@ def model_terms(metrics: DataFrame, terms: DataFrame, models: DataFrame) -> Data
         .groupBy("taxonomy_category", "model_ref")
         .agg(F.count(F.lit(1)).alias("_models"))
     )
-    return terms.join(metrics.select(*METRIC_KEYS, "terms_operator"), METRIC_KEYS).join(
-        categories, "taxonomy_category"
-    )
+    return terms.join(metrics, METRIC_KEYS).join(categories, "taxonomy_category")
 
 
 def metric_structure(
@@ -64,11 +62,12 @@ def metric_structure(
     connections: DataFrame,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """Structure of all ``metrics`` (distinct catalog_key, metric_id, terms_operator) at once.
+    """Structure of all ``metrics`` (distinct catalog_key, metric_id) at once.
 
-    The structure is a bag; equal rows of a metric are one row with their number in
-    ``copies``, so that they are joined with the fact table once. Rows that cannot be
-    located have a null ``metric_location`` and a ``location_problem``.
+    Further columns of ``metrics`` are kept. The structure is a bag; equal rows of a
+    metric are one row with their number in ``copies``, so that they are joined with the
+    fact table once. Rows that cannot be located have a null ``metric_location`` and a
+    ``location_problem``.
     """
     instances = (
         instantiated_components(components)
@@ -79,18 +78,13 @@ def metric_structure(
     rows = lookup_join(instances, wanted, ["model_ref"], limits).withColumn(
         "_copies", F.col("_instances") * F.col("_models")
     )
-    keys = [*METRIC_KEYS, "terms_operator", "term_ord", "model_ref", "component", "output_id", "_copies"]
+    keys = [*metrics.columns, "term_ord", "model_ref", "component", "output_id", "_copies"]
     located = locate(rows.select(*keys, "location_ports"), keys, connections)
     merged = located.groupBy(
-        *METRIC_KEYS,
-        "terms_operator",
-        "component",
-        "metric_location",
-        F.col("output_id").alias("output"),
+        *metrics.columns, "component", "metric_location", F.col("output_id").alias("output")
     ).agg(F.sum("_copies").alias("copies"), F.min("location_problem").alias("location_problem"))
     return merged.select(
-        *METRIC_KEYS,
-        "terms_operator",
+        *metrics.columns,
         "component",
         "metric_location",
         F.lit("").alias("breakdown_properties"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from viewloom.operators import checks
@@ -23,9 +23,12 @@ log = logging.getLogger(__name__)
 MAX_PUSHED_OUTPUTS = 500
 SPREAD = 32
 REFERENCE_ERRORS = {
-    "reference_format": ValueError,
-    "unknown_catalog": KeyError,
-    "time_operator": NotImplementedError,
+    "reference_format": (ValueError, "reference_format: '{reference}' is not '<catalog_id>.<metric_id>'"),
+    "unknown_catalog": (KeyError, "unknown_catalog: '{reference}' names a catalog that the view does not list"),
+    "time_operator": (
+        NotImplementedError,
+        "Temporal aggregation for metric {reference} is not supported for operator {time_operator}",
+    ),
 }
 
 
@@ -49,29 +52,24 @@ def validate_study(study: Study) -> None:
 
 
 def _usable_references(study: Study) -> DataFrame:
-    """References that the view is built from, staged. Raises for malformed ones, unknown
-    catalogs and unsupported time operators; warns of unknown metrics and skips them."""
-    judged = stage(judged_references(study.references, study.catalogs, study.metrics), "references")
-    problems = judged.filter(F.col("problem").isNotNull()).groupBy("problem").agg(
-        F.count(F.lit(1)).alias("n"), F.min_by("reference", "pos").alias("first")
-    )
-    found = {row["problem"]: row for row in problems.collect()}  # one row per kind
-    for problem, error in REFERENCE_ERRORS.items():
-        if problem in found:
-            row = found[problem]
-            raise error(f"{problem}: {row['n']} reference(s), the first is '{row['first']}'")
-    if "unknown_metric" in found:
-        unknown = judged.filter(F.col("problem") == "unknown_metric").orderBy("pos").limit(checks.SHOWN)
-        for row in unknown.collect():
-            log.warning("Metric %s not found in catalog %s", row["metric_id"], row["catalog_key"])
-        if found["unknown_metric"]["n"] > checks.SHOWN:
-            log.warning("%d metric references skipped in all", found["unknown_metric"]["n"])
-    return judged.filter(F.col("problem").isNull()).drop("problem", "reference")
+    """References that the view is built from. Raises for malformed ones, unknown catalogs
+    and unsupported time operators; warns of unknown metrics and skips them."""
+    judged = judged_references(study.references, study.catalogs, study.metrics)
+    skippable = F.col("problem") == "unknown_metric"
+    shown = judged.filter(F.col("problem").isNotNull()).orderBy(skippable, "pos").limit(checks.SHOWN + 1).collect()
+    for row in shown[: checks.SHOWN]:
+        if row["problem"] != "unknown_metric":
+            error, message = REFERENCE_ERRORS[row["problem"]]
+            raise error(message.format(**row.asDict()))
+        log.warning("Metric %s not found in catalog %s", row["metric_id"], row["catalog_key"])
+    if len(shown) > checks.SHOWN:
+        log.warning("More metric references were not found and are skipped")
+    return judged.filter(F.col("problem").isNull())
 
 
 def selected_metrics(references: DataFrame) -> DataFrame:
-    """Distinct metrics of resolved references."""
-    return references.select(*METRIC_KEYS, "terms_operator").distinct()
+    """Distinct metrics of resolved references, with how often each is referenced."""
+    return references.groupBy(*METRIC_KEYS, "terms_operator").agg(F.count(F.lit(1)).alias("mentions"))
 
 
 def study_structure(study: Study, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
@@ -95,20 +93,16 @@ def build_view(study: Study, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     * Time aggregation folds into terms aggregation where the calendar has one index per
       date, or no metric takes a mean.
     """
-    references = _usable_references(study)
     structure = metric_structure(
-        selected_metrics(references), study.terms, study.models, study.components, study.connections, limits
+        selected_metrics(_usable_references(study)),
+        study.terms,
+        study.models,
+        study.components,
+        study.connections,
+        limits,
     )
-    fingerprint = F.xxhash64(*(F.col(c) for c in METRIC_GROUP))
-    structure = stage(structure.withColumn("group_id", fingerprint), "structure")
-    link_bytes = row_bytes(structure.select("component", "output", "group_id", "terms_operator", "copies"))
-    measured = structure.agg(
-        F.coalesce(F.sum(link_bytes), F.lit(0)).alias("link_bytes"),
-        F.count("location_problem").alias("problems"),
-        F.count_if(F.col("terms_operator") == "avg").alias("means"),
-        F.countDistinct("group_id").alias("fingerprints"),
-        F.countDistinct(*METRIC_GROUP).alias("groups"),
-    ).first()
+    structure = stage(structure.withColumn("group_id", F.xxhash64(*METRIC_GROUP)), "structure")
+    measured = _measure(structure)
     if measured["problems"]:
         checks.assert_clean(checks.location_violations(structure))
 
@@ -127,18 +121,36 @@ def build_view(study: Study, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     else:
         values = time_values(terms_values(joined, keys), keys)
 
-    groups = structure.select(*dict.fromkeys([*keys, *METRIC_GROUP])).distinct()
-    labels = references.select("pos", *METRIC_KEYS).join(groups, METRIC_KEYS)
-    return _label(values, labels, keys, limits).select(*VIEW_COLUMNS)
+    groups = structure.select(*dict.fromkeys([*keys, *METRIC_GROUP]), "mentions").distinct()
+    small = measured["group_bytes"] <= limits.broadcast_bytes or fits(groups, limits)
+    view = _label(values, groups, keys, small)
+    if (measured["mentions"] or 1) > 1:
+        view = view.withColumn("_mention", F.explode(F.sequence(F.lit(1), F.col("mentions"))))
+    return view.select(*VIEW_COLUMNS)
+
+
+def _measure(structure: DataFrame) -> Row:
+    """Sizes and kinds of the staged structure, in one aggregation."""
+    link_bytes = row_bytes(structure.select("component", "output", "group_id", "terms_operator", "copies"))
+    group_bytes = row_bytes(structure.select("group_id", *METRIC_GROUP, "mentions"))
+    return structure.agg(
+        F.coalesce(F.sum(link_bytes), F.lit(0)).alias("link_bytes"),
+        F.coalesce(F.sum(group_bytes), F.lit(0)).alias("group_bytes"),  # at most: groups repeat
+        F.count("location_problem").alias("problems"),
+        F.count_if(F.col("terms_operator") == "avg").alias("means"),
+        F.max("mentions").alias("mentions"),
+        F.countDistinct("group_id").alias("fingerprints"),
+        F.countDistinct(*METRIC_GROUP).alias("groups"),
+    ).first()
 
 
-def _label(values: DataFrame, labels: DataFrame, keys: list[str], limits: Limits) -> DataFrame:
-    """Puts texts and repeated references back. Rows of ``values`` are unique per group,
-    scenario and date, so those spread a large group when the labels are too many to broadcast."""
-    if fits(labels, limits):
-        return values.join(F.broadcast(labels), keys)
+def _label(values: DataFrame, groups: DataFrame, keys: list[str], small: bool) -> DataFrame:
+    """Puts the texts of each group back. Rows of ``values`` are unique per group, scenario
+    and date, so those spread a large group when the groups are too many to broadcast."""
+    if small:
+        return values.join(F.broadcast(groups), keys)
     ways = values.withColumn("_way", F.pmod(F.xxhash64("scenario", "view_date"), F.lit(SPREAD)))
-    repeated = labels.withColumn("_way", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
+    repeated = groups.withColumn("_way", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
     return ways.join(repeated, [*keys, "_way"])
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewloom.sources import documents as docs
+from viewloom.operators.calendar import calendar_violations
+from viewloom.operators.checks import assert_clean
 from viewloom.schemas import TIME_GRAINS
 from viewloom.sources.calendar import read_calendar
 from viewloom.sources.simulation import read_simulation
@@ -89,7 +91,7 @@ def load_study(
     components: DataFrame | None = None,
     connections: DataFrame | None = None,
 ) -> Study:
-    """Study directory -> lazy tables.
+    """Study directory -> lazy tables. Only documents and the calendar are read here.
 
     Documents are ``view_config``, ``taxonomy``, ``library``, ``system`` and
     ``catalogs/<id>`` with ``suffix`` yml or json; the calendar is ``<calendar id>.csv``
@@ -112,9 +114,11 @@ def load_study(
     catalogs, metrics, terms = docs.catalog_tables(
         read_catalogs(spark, f"{path}/catalogs", view.catalog_ids, suffix)
     )
+    calendar = read_calendar(spark, f"{path}/{view.calendar_id}.csv")
+    assert_clean(calendar_violations(calendar))
     study = Study(
         simulation=read_simulation(spark, f"{path}/simulation_table*.parquet"),
-        calendar=read_calendar(spark, f"{path}/{view.calendar_id}.csv"),
+        calendar=calendar,
         taxonomy=taxonomy,
         taxonomy_ports=taxonomy_ports,
         models=docs.model_table(docs.read_document(spark, f"{path}/library.{suffix}", docs.LIBRARY_DOCUMENT)),
