@@ -182,6 +182,16 @@ _GRANULAR = f"""SELECT catalog_key, metric_id, metric_location, '' AS breakdown_
 FROM granular WHERE pos <> 1"""
 _VIEW = f"""SELECT metric_id, metric_location, '' AS breakdown_properties, view_date, scenario,
   round(metric_value, {DIGITS}) AS metric_value FROM temporal"""
+_STRUCTURE = """SELECT pos, metric_id, component, metric_location, '' AS breakdown_properties, output,
+  '1' AS weight_output_id, count(*) AS copies FROM structure GROUP BY ALL"""
+_PART_DEFINITIONS = """
+  SELECT 'k' || p_partkey AS catalog_key, metric_id, term_ord, output_id, lower(p_type) AS taxonomy_category,
+    CASE p_size % 3 WHEN 0 THEN '' WHEN 1 THEN 'home' ELSE 'home,hub' END AS location_ports
+  FROM (
+    SELECT *, 'A' AS metric_id, 0 AS term_ord, CASE WHEN p_size % 2 = 0 THEN 'new' ELSE 'old' END AS output_id FROM part
+    UNION ALL SELECT *, 'B', 0, 'first' FROM part
+    UNION ALL SELECT *, 'B', 1, p_name FROM part
+    UNION ALL SELECT *, 'C', 0, 'new' FROM part WHERE p_size % 2 = 1)"""
 _CALENDAR_RULES = """, rules AS (
   SELECT 'calendar_index' AS rule, 'absolute_time_index' AS subject,
     'non-contiguous or mismatched absolute_time_index values' AS detail
@@ -255,9 +265,7 @@ UNION ALL
 SELECT 'missing_field', catalog_key || '.' || metric_id, 'taxonomy_category' FROM terms WHERE taxonomy_category IS NULL
 UNION ALL
 SELECT 'missing_field', catalog_key || '.' || metric_id, 'output_id' FROM terms WHERE output_id IS NULL""",
-    "metric_structure": LINEITEM
-    + """SELECT pos, metric_id, component, metric_location, '' AS breakdown_properties, output,
-  '1' AS weight_output_id, count(*) AS copies FROM structure GROUP BY ALL""",
+    "metric_structure": LINEITEM + _STRUCTURE,
     "terms_sum": LINEITEM + _GRANULAR + " AND NOT is_avg",
     "terms_avg": LINEITEM + _GRANULAR + " AND is_avg",
     "time_sum": LINEITEM
@@ -267,4 +275,57 @@ SELECT 'missing_field', catalog_key || '.' || metric_id, 'output_id' FROM terms
     "build_view": LINEITEM + _VIEW,
     "build_view_events": EVENTS + _VIEW,
     "view_round_trip": LINEITEM + _VIEW,
+    "filtered_round_trip": EVENTS + _FILTERED,
+    "structure_round_trip": LINEITEM + _STRUCTURE,
+    "granular_round_trip": EVENTS
+    + f"""SELECT catalog_key, metric_id, metric_location, '' AS breakdown_properties, absolute_time_index, scenario,
+  round(granular_metric_value, {DIGITS}) AS granular_metric_value, granular_date FROM granular""",
+    "view_append": EVENTS + f"SELECT * FROM ({_VIEW}) UNION ALL SELECT * FROM ({_VIEW})",
+    "located_components": LINEITEM
+    + """, peers AS (SELECT component, port, min(peer) AS peer, count(*) AS n FROM edges GROUP BY component, port),
+found AS (SELECT c.component, v.port, CASE WHEN e.n = 1 THEN e.peer END AS peer,
+    CASE WHEN e.n IS NULL THEN 'No connection' WHEN e.n > 1 THEN 'Multiple connections' END
+      || ' found for component ' || chr(39) || c.component || chr(39) || ' on port ' || chr(39) || v.port || chr(39)
+      AS problem
+  FROM comps c CROSS JOIN (VALUES ('home'), ('hub'), ('aux')) v(port)
+  LEFT JOIN peers e ON e.component = c.component AND e.port = v.port
+  WHERE contains(c.model_ref, '.')),
+wide AS (SELECT h.component, h.peer AS home, u.peer AS hub, a.peer AS aux,
+    h.problem AS home_problem, coalesce(u.problem, h.problem, a.problem) AS problem
+  FROM found h JOIN found u ON h.component = u.component JOIN found a ON h.component = a.component
+  WHERE h.port = 'home' AND u.port = 'hub' AND a.port = 'aux')
+SELECT component, 0 AS "case", component AS metric_location, NULL AS location_problem FROM wide
+UNION ALL SELECT component, 1, home, home_problem FROM wide
+UNION ALL SELECT component, 2, CASE WHEN problem IS NULL THEN hub || '|' || home || '|' || aux END, problem FROM wide""",
+    "selected_metrics": f"""WITH refs AS ({_PARSED}), latest AS ({_LATEST})
+SELECT refs.catalog_key, refs.metric_id, latest.terms_operator, count(*) AS mentions
+FROM refs JOIN latest ON refs.catalog_key = latest.catalog_key AND refs.metric_id = latest.metric_id
+GROUP BY refs.catalog_key, refs.metric_id, latest.terms_operator""",
+    "terms_with_models": f"""WITH terms AS ({_TERMS}),
+few AS (SELECT taxonomy_category, 'lib.' || max(model_id) AS model_ref FROM ({_REGISTRY_MODELS})
+  WHERE taxonomy_category <> '' GROUP BY taxonomy_category)
+SELECT t.catalog_key, t.metric_id, t.taxonomy_category, f.model_ref
+FROM terms t JOIN few f ON f.taxonomy_category = t.taxonomy_category""",
+    "taxonomy_categories": """SELECT 't' || p_partkey AS taxonomy_id, lower(p_type) AS category_id,
+  CAST(NULL AS VARCHAR) AS parent_category FROM part
+UNION ALL SELECT 't' || p_partkey, 'bare', NULL FROM part""",
+    "taxonomy_ports": """SELECT lower(p_type) AS category_id, 'home' AS port_id FROM part
+UNION ALL SELECT lower(p_type), p_brand FROM part""",
+    "document_headers": """SELECT 't' || p_partkey AS id, CASE WHEN p_size % 2 = 0 THEN p_name ELSE '' END AS description
+FROM part""",
+    "library_models": """SELECT 'l' || p_partkey AS library_id, CAST(0 AS BIGINT) AS pos, 'a' AS model_id,
+  lower(p_type) AS taxonomy_category FROM part
+UNION ALL SELECT 'l' || p_partkey, 1, 'b', NULL FROM part""",
+    "system_components": """SELECT 's' || s_suppkey AS component, 'lib.m' || (s_suppkey % 4) AS model_ref FROM supplier
+UNION ALL SELECT 's' || s_suppkey || 'x', NULL FROM supplier""",
+    "system_connections": """SELECT 's' || s_suppkey AS component1, 'home' AS port1, 'n' || s_nationkey AS component2,
+  CAST(NULL AS VARCHAR) AS port2 FROM supplier""",
+    "catalog_metrics": f"""SELECT DISTINCT catalog_key, metric_id,
+  CASE WHEN output_id = 'old' THEN 'sum' ELSE 'avg' END AS terms_operator, 'sum' AS time_operator
+FROM ({_PART_DEFINITIONS})""",
+    "catalog_terms": f"""SELECT catalog_key, metric_id, term_ord, taxonomy_category, output_id, location_ports
+FROM ({_PART_DEFINITIONS})""",
+    "view_references": """SELECT CAST(0 AS BIGINT) AS pos, 'c.' || o_orderstatus AS reference FROM orders
+UNION ALL SELECT 1, 'c' || o_custkey || '.M' FROM orders
+UNION ALL SELECT 2, 'c.' || o_orderstatus FROM orders""",
 }

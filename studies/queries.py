@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,15 @@ from studies import tables as t
 from viewloom.operators import checks
 from viewloom.operators.calendar import constant_rows as rows_without_time
 from viewloom.operators.calendar import date_steps as steps_of
-from viewloom.operators.references import judged_references, latest_definitions, parse_references
+from viewloom.operators.references import (
+    judged_references,
+    latest_definitions,
+    parse_references,
+    resolve_references,
+)
+from viewloom.operators.structure import model_terms
 from viewloom.schemas import GRANULAR_COLUMNS, VIEW_COLUMNS
+from viewloom.sources import documents as docs
 from viewloom.staging import staging_root
 
 DIGITS = 6  # engines add in different orders; results are compared to this many decimals
@@ -23,6 +31,10 @@ def _rounded(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.round(column, DIGITS))
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{staging_root(spark)}/viewloom/{uuid4().hex}/{name}"
+
+
 def _lineitem_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vl.filter_by_calendar(t.lineitem_simulation(spark, sf_dir), t.lineitem_calendar(spark))
 
@@ -166,10 +178,99 @@ def build_view_events(spark, sf_dir):
 
 def view_round_trip(spark, sf_dir):
     """Validate, build, write and read back."""
-    written = vl.run(t.lineitem_study(spark, sf_dir), f"{staging_root(spark)}/viewloom/results")
+    written = vl.run(t.lineitem_study(spark, sf_dir), _scratch(spark, "results"))
     return _rounded(written, "metric_value")
 
 
+def filtered_round_trip(spark, sf_dir):
+    return vl.write_filtered(filter_by_calendar_hourly(spark, sf_dir), _scratch(spark, "filtered"))
+
+
+def structure_round_trip(spark, sf_dir):
+    return vl.write_structure(metric_structure(spark, sf_dir), _scratch(spark, "structure"))
+
+
+def granular_round_trip(spark, sf_dir):
+    study = t.events_study(spark, sf_dir)
+    filtered = vl.filter_by_calendar(study.simulation, study.calendar)
+    written = vl.write_granular(vl.aggregate_terms(filtered, vl.study_structure(study)), _scratch(spark, "granular"))
+    return _rounded(written, "granular_metric_value")
+
+
+def view_append(spark, sf_dir):
+    """A view, then the same view appended to it."""
+    view = vl.build_view(t.events_study(spark, sf_dir))
+    path = vl.write_view(view, _scratch(spark, "results"))
+    vl.append_view(view, path)
+    return _rounded(vl.read_view(spark, path), "metric_value")
+
+
+def located_components(spark, sf_dir):
+    """Every qualified component by itself, by one port and by three ports."""
+    ports = F.array(
+        F.lit(None).cast("array<string>"), F.array(F.lit("home")), F.array(F.lit("hub"), F.lit("home"), F.lit("aux"))
+    )
+    rows = vl.components_by_model(t.lineitem_components(spark, sf_dir)).select(
+        "component", F.posexplode(ports).alias("case", "location_ports")
+    )
+    located = vl.locate(rows, ["component", "case"], t.lineitem_connections(spark, sf_dir))
+    return located.select("component", "case", "metric_location", "location_problem")
+
+
+def selected_metrics(spark, sf_dir):
+    """References joined with the latest definitions, per metric."""
+    references = parse_references(t.registry_references(spark, sf_dir))
+    return vl.selected_metrics(resolve_references(references, latest_metric_definition(spark, sf_dir)))
+
+
+def terms_with_models(spark, sf_dir):
+    """Terms of all registry metrics with a qualified model of their category."""
+    terms = t.registry_terms(spark, sf_dir)
+    metrics = terms.select("catalog_key", "metric_id", F.lit("sum").alias("terms_operator"))
+    last = t.registry_models(spark, sf_dir).groupBy("library_id", "taxonomy_category").agg(
+        F.max("model_id").alias("model_id")
+    )
+    return model_terms(metrics, terms, last).select("catalog_key", "metric_id", "taxonomy_category", "model_ref")
+
+
+def taxonomy_categories(spark, sf_dir):
+    return docs.taxonomy_tables(t.taxonomy_documents(spark, sf_dir))[0]
+
+
+def taxonomy_ports(spark, sf_dir):
+    return docs.taxonomy_tables(t.taxonomy_documents(spark, sf_dir))[1]
+
+
+def document_headers(spark, sf_dir):
+    return docs.headers(t.taxonomy_documents(spark, sf_dir))
+
+
+def library_models(spark, sf_dir):
+    documents = t.library_documents(spark, sf_dir)
+    return docs.model_table(documents)
+
+
+def system_components(spark, sf_dir):
+    return docs.system_tables(t.system_documents(spark, sf_dir))[0]
+
+
+def system_connections(spark, sf_dir):
+    return docs.system_tables(t.system_documents(spark, sf_dir))[1]
+
+
+def catalog_metrics(spark, sf_dir):
+    return docs.catalog_tables(t.catalog_documents(spark, sf_dir))[1]
+
+
+def catalog_terms(spark, sf_dir):
+    terms = docs.catalog_tables(t.catalog_documents(spark, sf_dir))[2]
+    return terms.withColumn("location_ports", F.concat_ws(",", "location_ports"))
+
+
+def view_references(spark, sf_dir):
+    return docs.reference_table(t.view_documents(spark, sf_dir))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -198,5 +299,21 @@ QUERIES = {
         build_view,
         build_view_events,
         view_round_trip,
+        filtered_round_trip,
+        structure_round_trip,
+        granular_round_trip,
+        view_append,
+        located_components,
+        selected_metrics,
+        terms_with_models,
+        taxonomy_categories,
+        taxonomy_ports,
+        document_headers,
+        library_models,
+        system_components,
+        system_connections,
+        catalog_metrics,
+        catalog_terms,
+        view_references,
     )
 }

@@ -366,3 +366,89 @@ def gapped_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.expr("cast(date_add(date'1995-01-01', cast(o_orderkey as int)) as timestamp_ntz)").alias("granular_date"),
         )
     )
+
+
+# Documents: one small nested document per row of a table, shaped as the readers shape them.
+
+
+def _ids(*names: Column) -> Column:
+    return F.array(*(F.struct(name.alias("id")) for name in names))
+
+
+def taxonomy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def category(name: Column, ports: Column) -> Column:
+        return F.struct(name.alias("id"), F.lit(None).cast("string").alias("parent-category"), ports.alias("ports"))
+
+    none = F.lit(None).cast("array<struct<id: string>>")
+    return table(spark, sf_dir, "part").select(
+        _named("t", "p_partkey").alias("id"),
+        F.when(F.col("p_size") % 2 == 0, F.col("p_name")).alias("description"),
+        F.array(
+            category(F.lower("p_type"), _ids(F.lit("home"), F.col("p_brand"))), category(F.lit("bare"), none)
+        ).alias("categories"),
+    )
+
+
+def library_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def model(name: str, category: Column) -> Column:
+        return F.struct(F.lit(name).alias("id"), category.alias("taxonomy-category"))
+
+    return table(spark, sf_dir, "part").select(
+        _named("l", "p_partkey").alias("id"),
+        F.array(model("a", F.lower("p_type")), model("b", F.lit(None).cast("string"))).alias("models"),
+    )
+
+
+def system_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, none = _named("s", "s_suppkey"), F.lit(None).cast("string")
+    model = F.concat(F.lit("lib.m"), (F.col("s_suppkey") % 4).cast("string"))
+    return table(spark, sf_dir, "supplier").select(
+        F.array(
+            F.struct(name.alias("id"), model.alias("model")),
+            F.struct(F.concat(name, F.lit("x")).alias("id"), none.alias("model")),
+        ).alias("components"),
+        F.array(
+            F.struct(
+                name.alias("component1"),
+                F.lit("home").alias("port1"),
+                _named("n", "s_nationkey").alias("component2"),
+                none.alias("port2"),
+            )
+        ).alias("connections"),
+    )
+
+
+def catalog_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three definitions per catalog; for even sizes the third replaces the first."""
+    size = F.col("p_size")
+    ports = F.when(size % 3 == 1, "home").when(size % 3 == 2, '["home","hub"]')
+
+    def term(output: Column) -> Column:
+        return F.struct(
+            F.lower("p_type").alias("taxonomy-category"), output.alias("output-id"), ports.alias("location-ports")
+        )
+
+    def metric(name: Column, operator: str, *outputs: Column) -> Column:
+        return F.struct(
+            name.alias("id"),
+            F.array(*(term(o) for o in outputs)).alias("terms"),
+            F.lit(operator).alias("terms-operator"),
+            F.lit("sum").alias("time-operator"),
+        )
+
+    return table(spark, sf_dir, "part").select(
+        _named("k", "p_partkey").alias("catalog_key"),
+        F.col("p_brand").alias("id"),
+        F.lit("tax").alias("taxonomy"),
+        F.array(
+            metric(F.lit("A"), "sum", F.lit("old")),
+            metric(F.lit("B"), "avg", F.lit("first"), F.col("p_name")),
+            metric(F.when(size % 2 == 0, "A").otherwise("C"), "avg", F.lit("new")),
+        ).alias("metrics-definition"),
+    )
+
+
+def view_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = F.col("o_orderstatus")
+    first, second = F.concat(F.lit("c."), status), F.concat(_named("c", "o_custkey"), F.lit(".M"))
+    return table(spark, sf_dir, "orders").select(_ids(first, second, first).alias("metrics"))

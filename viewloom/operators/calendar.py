@@ -71,10 +71,12 @@ def filter_by_calendar(
     )
     same_block = _equal(simulation, dates, "block", "_block")
     if summary.size <= limits.broadcast_bytes:
+        # Joined on the integer alone, which hashes faster than with the block; no match
+        # leaves the block comparison null.
         looked_up = simulation.filter(index.isNull() | in_range).join(
-            F.broadcast(dates), (index == F.col("_index")) & same_block, "left"
+            F.broadcast(dates), index == F.col("_index"), "left"
         )
-        kept = looked_up.filter(index.isNull() | F.col("_index").isNotNull())
+        kept = looked_up.filter(index.isNull() | same_block)
         return kept.select(*simulation.columns, "granular_date")
     by_index = dates.withColumnRenamed("_index", "absolute_time_index")
     timed = lookup_join(simulation.filter(in_range), by_index, ["absolute_time_index"], limits).filter(same_block)

@@ -74,6 +74,11 @@ def read_document(spark: SparkSession, path: str, shape: str) -> DataFrame:
     return document.select(f"{root}.*")
 
 
+def headers(document: DataFrame) -> DataFrame:
+    """(id, description) of taxonomy or library documents; no description reads as empty."""
+    return document.select("id", or_empty(F.col("description")).alias("description"))
+
+
 def taxonomy_tables(document: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(taxonomy_id, category_id, parent_category) and (category_id, port_id)."""
     categories = document.select(F.col("id").alias("taxonomy_id"), F.explode("categories").alias("c"))
@@ -87,11 +92,7 @@ def taxonomy_tables(document: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def model_table(document: DataFrame) -> DataFrame:
-    return document.select(
-        F.col("id").alias("library_id"),
-        or_empty(F.col("description")).alias("description"),
-        F.posexplode("models").alias("pos", "m"),
-    ).select(
+    return document.select(F.col("id").alias("library_id"), F.posexplode("models").alias("pos", "m")).select(
         "library_id",
         F.col("pos").cast("long").alias("pos"),
         F.col("m.id").alias("model_id"),
