@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 
 from viewloom import Limits, aggregate_terms, aggregate_time
@@ -92,12 +94,14 @@ def test_fact_table_is_not_shuffled_by_the_join(spark, two_bus):
     assert not any("basis_status" in line or "block_time_index" in line for line in schemas)
 
 
-def test_view_needs_one_shuffle_of_fact_rows(spark, two_bus):
+def test_view_needs_one_shuffle_of_fact_rows(spark, two_bus, two_bus_dir):
     from tests.plans import formatted
-    from viewloom import build_view
+    from viewloom import build_view, read_calendar
 
-    plan = formatted(build_view(two_bus))
+    calendar = read_calendar(spark, str(two_bus_dir / "calendar_file.csv"))
+    plan = formatted(build_view(replace(two_bus, calendar=calendar)))
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
     wide = [line for line in plan.splitlines() if line.startswith("Arguments: hashpartitioning(group_id") and "granular_date" in line]
     assert len(wide) == 1
     assert "In(output, [" in plan  # the metrics' outputs reach the scan
+    assert plan.split("(1) ")[0].count("Scan csv") == 1  # finding absent series needs no calendar of one block

@@ -71,13 +71,18 @@ def test_index_range_and_null_test_reach_the_scan(spark, two_bus_dir, two_bus):
     from tests.plans import formatted
 
     plan = formatted(filter_by_calendar(two_bus.simulation, two_bus.calendar))
-    assert "PushedFilters: [Or(IsNull(absolute_time_index),And(GreaterThanOrEqual(absolute_time_index,0)" in plan
+    assert "PushedFilters: [Or(IsNull(absolute_time_index),And(And(GreaterThanOrEqual(absolute_time_index,0)" in plan
+    assert "GreaterThanOrEqual(block,1),LessThanOrEqual(block,1)" in plan
     assert plan.count("Scan parquet") == 2 and "BroadcastHashJoin LeftOuter" in plan  # one scan, named twice
 
 
 def test_summary(spark):
     summary = summarise_calendar(hourly(spark, 5))
     assert (summary.first, summary.last, summary.one_index_per_date) == (0, 4, True)
+    assert summary.is_a_range
+    assert not summarise_calendar(hourly(spark, 5).filter("absolute_time_index <> 2")).is_a_range
+    assert not summarise_calendar(hourly(spark, 5).union(hourly(spark, 5, "2").offset(4))).is_a_range
+    assert not summarise_calendar(hourly(spark, 0)).is_a_range
     same_date = calendar(spark, [(i, "1", START) for i in range(3)])
     assert not summarise_calendar(same_date).one_index_per_date
 

@@ -25,7 +25,7 @@ MODELS = [("g1", "gen"), ("g2", "gen"), ("g2", "gen"), ("l1", "load"), ("x", Non
 REFERENCES = [("a", "SUM"), ("b", "SUM"), ("a", "SUM"), ("a", "TWICE"), ("a", "MEAN"), ("a", "SELF"), ("b", "NONE"), ("b", "MISSING")]
 
 
-def make(seed, step_hours):
+def make(seed, step_hours, split_block=5):
     rng = random.Random(seed)
     names = [f"c{i}" for i in range(8)]
     components = [(n, rng.choice(["lib.g1", "lib.g2", "lib.l1", "g1", "other.g1", None])) for n in names]
@@ -51,7 +51,7 @@ def make(seed, step_hours):
         )
     simulation += simulation[:20]
     start = datetime(2024, 3, 1)
-    calendar = [(i, "1" if i < 5 else "2", start + timedelta(hours=step_hours * i)) for i in range(10)]
+    calendar = [(i, "1" if i < split_block else "2", start + timedelta(hours=step_hours * i)) for i in range(10)]
     return simulation, calendar, components, connections
 
 
@@ -78,13 +78,14 @@ def rows(view):
     return sorted((tuple(r) for r in view.withColumn("metric_value", F.round("metric_value", 6)).collect()), key=str)
 
 
-CASES = [(1, 1, Limits()), (2, 1, SPLIT), (3, 0, Limits()), (4, 0, SPLIT)]
+CASES = [(1, 1, 5, Limits()), (2, 1, 5, SPLIT), (3, 0, 5, Limits()), (4, 0, 5, SPLIT), (7, 1, 99, Limits())]
 
 
-@pytest.mark.parametrize("seed, step_hours, limits", CASES)
-def test_view_equals_brute_force(spark, seed, step_hours, limits):
-    """Step 0 puts all time indexes on one date, so means need both aggregation stages."""
-    data = make(seed, step_hours)
+@pytest.mark.parametrize("seed, step_hours, split_block, limits", CASES)
+def test_view_equals_brute_force(spark, seed, step_hours, split_block, limits):
+    """Step 0 puts all time indexes on one date, so means need both aggregation stages.
+    A calendar of one block is a range test."""
+    data = make(seed, step_hours, split_block)
     simulation, calendar, components, connections = data
     expected = brute_view(simulation, calendar, TERMS, MODELS, components, connections, REFERENCES)
     assert rows(build_view(as_study(spark, *data), limits)) == expected

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewloom.operators.joins import DEFAULT_LIMITS, Limits, lookup_join, row_bytes
+from viewloom.operators.joins import DEFAULT_LIMITS, Limits, fits, lookup_join, row_bytes
 
 
 @dataclass(frozen=True)
@@ -16,8 +16,17 @@ class CalendarSummary:
 
     first: int | None
     last: int | None
+    low_block: object
+    high_block: object
     size: int
     one_index_per_date: bool
+    contiguous: bool
+
+    @property
+    def is_a_range(self) -> bool:
+        """One block, and every index between the first and the last exactly once: then
+        being in the calendar is a range test."""
+        return self.contiguous and self.low_block == self.high_block
 
 
 def summarise_calendar(calendar: DataFrame) -> CalendarSummary:
@@ -25,14 +34,23 @@ def summarise_calendar(calendar: DataFrame) -> CalendarSummary:
         F.count(F.lit(1)).alias("rows"),
         F.min("absolute_time_index").alias("first"),
         F.max("absolute_time_index").alias("last"),
+        F.min("block").alias("low_block"),
+        F.max("block").alias("high_block"),
+        F.count("block").alias("blocks"),
+        F.countDistinct("absolute_time_index").alias("indexes"),
         F.countDistinct("granular_date").alias("dates"),
         F.coalesce(F.sum(row_bytes(calendar)), F.lit(0)).alias("size"),
     ).first()
+    rows = row["rows"]
+    complete = rows > 0 and row["blocks"] == row["indexes"] == rows and row["last"] - row["first"] == rows - 1
     return CalendarSummary(
         first=row["first"],
         last=row["last"],
+        low_block=row["low_block"],
+        high_block=row["high_block"],
         size=row["size"],
-        one_index_per_date=row["rows"] == row["dates"],
+        one_index_per_date=rows == row["dates"],
+        contiguous=complete,
     )
 
 
@@ -57,9 +75,9 @@ def filter_by_calendar(
     """Rows whose (index, block) is in the calendar, with its date, plus all constant rows.
 
     Constant rows skip the block test and get a null date of the calendar's type. The
-    calendar's index range becomes a literal predicate, so the scan can skip row groups
-    outside of it. A calendar within the broadcast budget is looked up in one pass over
-    the table; beyond it the time-dependent rows take a split shuffle join.
+    calendar's index and block ranges become literal predicates, so the scan can skip row
+    groups outside of them. A calendar within the broadcast budget is looked up in one
+    pass over the table; beyond it the time-dependent rows take a split shuffle join.
     """
     summary = summary or summarise_calendar(calendar)
     index = F.col("absolute_time_index")
@@ -69,6 +87,9 @@ def filter_by_calendar(
         F.col("block").alias("_block"),
         "granular_date",
     )
+    same_type = simulation.schema["block"].dataType == calendar.schema["block"].dataType
+    if same_type and summary.low_block is not None:
+        in_range = in_range & F.col("block").between(summary.low_block, summary.high_block)
     same_block = _equal(simulation, dates, "block", "_block")
     if summary.size <= limits.broadcast_bytes:
         # Joined on the integer alone, which hashes faster than with the block; no match
@@ -76,8 +97,9 @@ def filter_by_calendar(
         looked_up = simulation.filter(index.isNull() | in_range).join(
             F.broadcast(dates), index == F.col("_index"), "left"
         )
-        kept = looked_up.filter(index.isNull() | same_block)
-        return kept.select(*simulation.columns, "granular_date")
+        if not (same_type and summary.is_a_range):
+            looked_up = looked_up.filter(index.isNull() | same_block)
+        return looked_up.select(*simulation.columns, "granular_date")
     by_index = dates.withColumnRenamed("_index", "absolute_time_index")
     timed = lookup_join(simulation.filter(in_range), by_index, ["absolute_time_index"], limits).filter(same_block)
     no_date = F.lit(None).cast(calendar.schema["granular_date"].dataType).alias("granular_date")
@@ -86,13 +108,13 @@ def filter_by_calendar(
     )
 
 
-def rows_in_calendar(filtered: DataFrame, calendar: DataFrame) -> DataFrame:
+def rows_in_calendar(filtered: DataFrame, calendar: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     """Time-dependent rows whose (index, block) is in the calendar; all of them after the filter."""
     keys = calendar.select(
         F.col("absolute_time_index").alias("_index"), F.col("block").alias("_block")
     )
     same = (F.col("absolute_time_index") == F.col("_index")) & _equal(filtered, keys, "block", "_block")
-    return filtered.join(keys, same, "left_semi")
+    return filtered.join(F.broadcast(keys) if fits(keys, limits) else keys, same, "left_semi")
 
 
 def date_steps(calendar: DataFrame) -> DataFrame:

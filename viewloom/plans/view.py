@@ -114,7 +114,8 @@ def build_view(study: Study, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     filtered = filter_by_calendar(simulation, study.calendar, limits, summary)
 
     keys = ["group_id"] if measured["fingerprints"] == measured["groups"] else METRIC_GROUP
-    links = structure.select("component", "output", *keys, (F.col("terms_operator") == "avg").alias("is_avg"), "copies")
+    is_avg = F.col("terms_operator") == "avg" if measured["means"] else F.lit(False)  # a literal leaves the key
+    links = structure.select("component", "output", *keys, is_avg.alias("is_avg"), "copies")
     joined = attach_structure(filtered, links, limits, measured["link_bytes"] <= limits.broadcast_bytes)
     if summary.one_index_per_date or not measured["means"]:
         values = view_values(joined, keys)
