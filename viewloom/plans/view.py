@@ -21,7 +21,6 @@ from viewloom.staging import stage
 log = logging.getLogger(__name__)
 
 MAX_PUSHED_OUTPUTS = 500
-SPREAD = 32
 REFERENCE_ERRORS = {
     "reference_format": (ValueError, "reference_format: '{reference}' is not '<catalog_id>.<metric_id>'"),
     "unknown_catalog": (KeyError, "unknown_catalog: '{reference}' names a catalog that the view does not list"),
@@ -89,7 +88,8 @@ def build_view(study: Study, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
 
     * A metric referenced twice is aggregated once; its rows repeat at the end.
     * Rows are grouped by a fingerprint of (catalog, metric, location) instead of those
-      texts, after checking that the fingerprints do not collide; otherwise by the texts.
+      texts, which are broadcast to the result. If fingerprints collide or the groups are
+      too many to broadcast, rows are grouped by the texts.
     * Time aggregation folds into terms aggregation where the calendar has one index per
       date, or no metric takes a mean.
     """
@@ -113,18 +113,21 @@ def build_view(study: Study, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
         simulation = simulation.filter(F.col("output").isin([row["output"] for row in outputs]))
     filtered = filter_by_calendar(simulation, study.calendar, limits, summary)
 
-    keys = ["group_id"] if measured["fingerprints"] == measured["groups"] else METRIC_GROUP
+    labels = [*METRIC_GROUP, "mentions"]
+    groups = structure.select("group_id", *labels).distinct()
+    by_fingerprint = measured["fingerprints"] == measured["groups"] and (
+        measured["group_bytes"] <= limits.broadcast_bytes or fits(groups, limits)
+    )
+    keys = ["group_id"] if by_fingerprint else labels
     is_avg = F.col("terms_operator") == "avg" if measured["means"] else F.lit(False)  # a literal leaves the key
     links = structure.select("component", "output", *keys, is_avg.alias("is_avg"), "copies")
     joined = attach_structure(filtered, links, limits, measured["link_bytes"] <= limits.broadcast_bytes)
     if summary.one_index_per_date or not measured["means"]:
-        values = view_values(joined, keys)
+        view = view_values(joined, keys)
     else:
-        values = time_values(terms_values(joined, keys), keys)
-
-    groups = structure.select(*dict.fromkeys([*keys, *METRIC_GROUP]), "mentions").distinct()
-    small = measured["group_bytes"] <= limits.broadcast_bytes or fits(groups, limits)
-    view = _label(values, groups, keys, small)
+        view = time_values(terms_values(joined, keys), keys)
+    if by_fingerprint:
+        view = view.join(F.broadcast(groups), "group_id")
     if (measured["mentions"] or 1) > 1:
         view = view.withColumn("_mention", F.explode(F.sequence(F.lit(1), F.col("mentions"))))
     return view.select(*VIEW_COLUMNS)
@@ -145,16 +148,6 @@ def _measure(structure: DataFrame) -> Row:
     ).first()
 
 
-def _label(values: DataFrame, groups: DataFrame, keys: list[str], small: bool) -> DataFrame:
-    """Puts the texts of each group back. Rows of ``values`` are unique per group, scenario
-    and date, so those spread a large group when the groups are too many to broadcast."""
-    if small:
-        return values.join(F.broadcast(groups), keys)
-    ways = values.withColumn("_way", F.pmod(F.xxhash64("scenario", "view_date"), F.lit(SPREAD)))
-    repeated = groups.withColumn("_way", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
-    return ways.join(repeated, [*keys, "_way"])
-
-
 def run(study: Study, results: str, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     """Validate, build, write; returns the re-opened view."""
     validate_study(study)
