@@ -194,12 +194,12 @@ _PART_DEFINITIONS = """
     UNION ALL SELECT *, 'C', 0, 'new' FROM part WHERE p_size % 2 = 1)"""
 _CALENDAR_RULES = """, rules AS (
   SELECT 'calendar_index' AS rule, 'absolute_time_index' AS subject,
-    'non-contiguous or mismatched absolute_time_index values' AS detail
+    'indexes are not 0 to N-1, each once' AS detail
   FROM (SELECT count(*) AS n, count(DISTINCT absolute_time_index) AS d, min(absolute_time_index) AS lo,
           max(absolute_time_index) AS hi FROM cal) WHERE NOT (d = n AND lo = 0 AND hi = n - 1)
   UNION ALL
   SELECT 'calendar_step', 'granular_date',
-    'non-constant differences between consecutive granular_date values'
+    'dates do not advance by one constant step'
   FROM (SELECT count(DISTINCT step) AS steps FROM (
     SELECT granular_date - lag(granular_date) OVER (ORDER BY absolute_time_index) AS step,
       absolute_time_index - lag(absolute_time_index) OVER (ORDER BY absolute_time_index) AS gap FROM cal) WHERE gap = 1)
@@ -236,7 +236,7 @@ WHERE taxonomy_category IS NOT NULL AND taxonomy_category <> ''""",
     "model_violations": f"""WITH models AS ({_REGISTRY_MODELS}),
 latest AS (SELECT model_id, max_by(coalesce(taxonomy_category, '?'), pos) AS category FROM models GROUP BY model_id)
 SELECT 'model' AS rule, r.model_id AS subject,
-  CASE WHEN l.model_id IS NULL THEN 'not found in library' ELSE 'has no taxonomy category in library' END AS detail
+  CASE WHEN l.model_id IS NULL THEN 'unknown model' ELSE 'model without category' END AS detail
 FROM (SELECT 'p' || p_partkey AS model_id FROM part) r LEFT JOIN latest l ON l.model_id = r.model_id
 WHERE l.model_id IS NULL OR l.category = '?'""",
     "metric_refs": f"""SELECT min(pos) OVER (PARTITION BY catalog_key) AS catalog_pos, pos, catalog_key, metric_id

@@ -74,8 +74,8 @@ def test_models(spark):
     )
     requested = spark.createDataFrame([("m",), ("n",), ("o",)], "model_id string")
     assert rows(checks.model_violations(requested, models)) == [
-        ("model", "n", "has no taxonomy category in library"),
-        ("model", "o", "not found in library"),
+        ("model", "n", "model without category"),
+        ("model", "o", "unknown model"),
     ]
 
 

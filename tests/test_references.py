@@ -60,5 +60,5 @@ def test_unknown(spark, metrics):
 
 def test_get_metric(metrics):
     assert get_metric(metrics, "a", "X").first()["terms_operator"] == "sum"
-    with pytest.raises(ValueError, match="Metric Z not found in catalog a"):
+    with pytest.raises(ValueError, match="Catalog a does not define metric Z"):
         get_metric(metrics, "a", "Z")

@@ -71,7 +71,7 @@ def test_taxonomy(spark, tmp_path):
 def test_library(spark, tmp_path):
     models = docs.model_table(document(spark, tmp_path, "library", fixture.LIBRARY, docs.LIBRARY_DOCUMENT))
     assert models.filter("taxonomy_category = 'consumption'").select("library_id", "model_id").orderBy("pos").collect() == [
-        ("pypsa_models", "load"), ("pypsa_models", "store"),
+        ("grid_models", "load"), ("grid_models", "store"),
     ]
 
 

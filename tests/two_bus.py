@@ -31,7 +31,7 @@ TAXONOMY = {
     ],
 }
 LIBRARY = {
-    "id": "pypsa_models",
+    "id": "grid_models",
     "models": [
         {"id": model, "taxonomy-category": category}
         for model, category in {
@@ -49,7 +49,7 @@ LIBRARY = {
 SYSTEM = {
     "id": "two_bus",
     "components": [
-        {"id": component, "model": f"pypsa_models.{model}"}
+        {"id": component, "model": f"grid_models.{model}"}
         for component, model in {
             "generator_A1": "generator",
             "generator_A2": "generator",

@@ -97,7 +97,7 @@ def aggregate_terms(filtered: DataFrame, structure: DataFrame, limits: Limits =
 def aggregate_time(granular: DataFrame, time_operator: str = "sum") -> DataFrame:
     """Temporal metric view: sums of the granular values by date. Means are not supported."""
     if time_operator != "sum":
-        raise NotImplementedError(f"Temporal aggregation is not supported for operator {time_operator}")
+        raise NotImplementedError(f"Unsupported time operator {time_operator}, only sum is supported")
     keys = [k for k in METRIC_GROUP if k in granular.columns]
     extra = [k for k in keys if k not in VIEW_COLUMNS]
     return time_values(granular, keys).select(*extra, *VIEW_COLUMNS)

@@ -152,13 +152,13 @@ def calendar_violations(calendar: DataFrame) -> DataFrame:
     gaps = counts.filter((F.col("rows") > 0) & ~F.coalesce(contiguous, F.lit(False))).select(
         F.lit("calendar_index").alias("rule"),
         F.lit("absolute_time_index").alias("subject"),
-        F.lit("non-contiguous or mismatched absolute_time_index values").alias("detail"),
+        F.lit("indexes are not 0 to N-1, each once").alias("detail"),
     )
     # More than one distinct step shows as a smallest step unlike the largest.
     steps = date_steps(calendar).agg(F.min("step").alias("low"), F.max("step").alias("high"))
     uneven = steps.filter(F.col("low") != F.col("high")).select(
         F.lit("calendar_step").alias("rule"),
         F.lit("granular_date").alias("subject"),
-        F.lit("non-constant differences between consecutive granular_date values").alias("detail"),
+        F.lit("dates do not advance by one constant step").alias("detail"),
     )
     return gaps.unionByName(uneven)

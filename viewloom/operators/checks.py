@@ -149,8 +149,8 @@ def model_violations(requested: DataFrame, models: DataFrame) -> DataFrame:
         F.lit(True).alias("known"),
     )
     found = requested.select("model_id").distinct().join(latest, "model_id", "left")
-    problem = F.when(F.col("known").isNull(), "not found in library").when(
-        F.col("taxonomy_category").isNull(), "has no taxonomy category in library"
+    problem = F.when(F.col("known").isNull(), "unknown model").when(
+        F.col("taxonomy_category").isNull(), "model without category"
     )
     return _violation(found.filter(problem.isNotNull()), "model", F.col("model_id"), problem)
 
@@ -182,7 +182,7 @@ def time_operator_violations(resolved: DataFrame) -> DataFrame:
         resolved.filter(F.col("time_operator") != "sum"),
         "time_operator",
         F.concat_ws(".", "catalog_key", "metric_id"),
-        F.concat(F.lit("temporal aggregation is not supported for operator "), F.col("time_operator")),
+        F.concat(F.lit("unsupported time operator "), F.col("time_operator")),
     )
 
 

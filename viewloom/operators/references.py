@@ -81,5 +81,5 @@ def get_metric(metrics: DataFrame, catalog_key: str, metric_id: str) -> DataFram
     """One metric of one catalog; raises if the catalog does not define it."""
     found = metrics.filter((F.col("catalog_key") == catalog_key) & (F.col("metric_id") == metric_id))
     if found.isEmpty():
-        raise ValueError(f"Metric {metric_id} not found in catalog {catalog_key}")
+        raise ValueError(f"Catalog {catalog_key} does not define metric {metric_id}")
     return found

@@ -26,7 +26,7 @@ REFERENCE_ERRORS = {
     "unknown_catalog": (KeyError, "unknown_catalog: '{reference}' names a catalog that the view does not list"),
     "time_operator": (
         NotImplementedError,
-        "Temporal aggregation for metric {reference} is not supported for operator {time_operator}",
+        "time_operator: {reference} asks for {time_operator}, only sum is supported",
     ),
 }
 
@@ -60,9 +60,9 @@ def _usable_references(study: Study) -> DataFrame:
         if row["problem"] != "unknown_metric":
             error, message = REFERENCE_ERRORS[row["problem"]]
             raise error(message.format(**row.asDict()))
-        log.warning("Metric %s not found in catalog %s", row["metric_id"], row["catalog_key"])
+        log.warning("Skipping %s: its catalog does not define it", row["reference"])
     if len(shown) > checks.SHOWN:
-        log.warning("More metric references were not found and are skipped")
+        log.warning("More references are skipped for the same reason")
     return judged.filter(F.col("problem").isNull())
 
 
@@ -152,5 +152,5 @@ def run(study: Study, results: str, limits: Limits = DEFAULT_LIMITS) -> DataFram
     """Validate, build, write; returns the re-opened view."""
     validate_study(study)
     path = write_view(build_view(study, limits), results)
-    log.info("Results merged into %s", path)
+    log.info("View written to %s", path)
     return read_view(study.simulation.sparkSession, path)

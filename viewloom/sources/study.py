@@ -100,7 +100,6 @@ def load_study(
     ``components`` and ``connections`` and ``system`` is not read.
     """
     path = path.rstrip("/")
-    log.info("Loading inputs from %s", path)
     view_document = docs.read_document(spark, f"{path}/view_config.{suffix}", docs.VIEW_DOCUMENT)
     view = read_view_config(view_document)
     taxonomy, taxonomy_ports = docs.taxonomy_tables(
@@ -130,5 +129,5 @@ def load_study(
         references=docs.reference_table(view_document),
         view=view,
     )
-    log.info("All inputs loaded successfully")
+    log.info("Study loaded from %s", path)
     return study
