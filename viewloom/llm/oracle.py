@@ -2,6 +2,8 @@
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE = {
     "op3_substring_dedup": rf"""
         WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
@@ -25,4 +27,31 @@ ORACLE = {
             sha256(coalesce(t, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id)
     """,
+    "op7_near_dedup": rf"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+        ),
+        sh AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)
+        ),
+        n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+            FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+        ),
+        link AS (
+            SELECT x, y FROM common JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+            WHERE 100 * c >= 85 * (nx.n + ny.n - c)
+        ),
+        both_ways AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+        reach AS (
+            SELECT doc_id, doc_id AS r FROM d
+            UNION SELECT reach.doc_id, b.y FROM reach JOIN both_ways b ON b.x = reach.r
+        ),
+        least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+        SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id,
+            d.doc_id = component_id AS kept
+        FROM d JOIN least USING (doc_id) LEFT JOIN n USING (doc_id)
+    """,
 }

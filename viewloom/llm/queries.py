@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from viewloom.llm.near_dedup import near_duplicate_groups
 from viewloom.llm.substring_dedup import remove_repeated_passages
 from viewloom.llm.suffix_dedup import remove_repeated_strings
 
@@ -16,11 +17,16 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_passages(table(spark, sf_dir, "documents"), window=50, with_text=False).drop("kept")
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_groups(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_strings(table(spark, sf_dir, "documents"), length=400, with_text=False).drop("kept")
 
 
 QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
+    "op7_near_dedup": op7_near_dedup,
     "op8_suffix_dedup": op8_suffix_dedup,
 }

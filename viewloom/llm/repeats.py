@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewloom.llm.shared import Staging, sized
+from viewloom.llm.shared import Staging, sized, texts_of
 from viewloom.llm.text import Block, blocks, column, mix, owners, pair, run_hashes
 
 POSITION_BITS = 28
@@ -286,13 +286,7 @@ def repeated_windows(
         ).alias("w"),
     )
     wanted = staging.write(wanted.groupBy("doc", "key").agg(F.collect_list("w").alias("wanted")), "wanted")
-    texts = docs.join(sized(wanted, 48 + 48 * F.size("wanted")), ["doc", "key"])
-    repeated = staging.write(docs.groupBy("doc", "key").count().where("count > 1"), "repeated")
-    if not repeated.isEmpty():  # rows that repeat id and text count once here; their number is in size
-        again = repeated.select("doc", "key")
-        once = texts.join(again, ["doc", "key"], "left_semi").dropDuplicates(["doc", "key"])
-        texts = texts.join(sized(again, 48), ["doc", "key"], "left_anti").unionByName(once)
-    texts = texts.select("text", "wanted")
+    texts = texts_of(docs, wanted, 48 + 48 * F.size("wanted"), staging).select("text", "wanted")
     snippets = staging.write(texts.mapInArrow(_snippets(symbols_of, shape), SNIPPETS), "snippets")
     todo = snippets.withColumn("wanted", F.array("block"))
     answers = None

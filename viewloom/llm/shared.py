@@ -79,3 +79,17 @@ def keyed(docs: DataFrame, *columns: str) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"),
         F.xxhash64("doc_id", "text").alias("key"),
     )
+
+
+def texts_of(docs: DataFrame, wanted: DataFrame, row_bytes: Column | int, staging: Staging) -> DataFrame:
+    """``wanted``, a staged table, with the columns of its documents, found by ``doc`` and ``key``.
+
+    Rows that repeat id and text give one row.
+    """
+    texts = docs.join(sized(wanted, row_bytes), ["doc", "key"])
+    repeated = staging.write(docs.groupBy("doc", "key").count().where("count > 1"), "repeated")
+    if repeated.isEmpty():
+        return texts
+    again = repeated.select("doc", "key")
+    once = texts.join(again, ["doc", "key"], "left_semi").dropDuplicates(["doc", "key"])
+    return texts.join(sized(again, 48), ["doc", "key"], "left_anti").unionByName(once)
