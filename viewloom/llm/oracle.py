@@ -3,6 +3,7 @@
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 ORACLE = {
     "op3_substring_dedup": rf"""
@@ -54,4 +55,30 @@ ORACLE = {
             d.doc_id = component_id AS kept
         FROM d JOIN least USING (doc_id) LEFT JOIN n USING (doc_id)
     """,
+    "op10_decontaminate": rf"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({LOWER}, '{TOKEN}') AS w FROM documents),
+        b AS (SELECT item_id, regexp_extract_all({LOWER}, '{TOKEN}') AS w FROM benchmark),
+        bw AS (
+            SELECT DISTINCT item_id, least(len(w), 13) AS k, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS s
+            FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+        ),
+        k AS (SELECT DISTINCT k FROM bw),
+        dw AS (
+            SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS s
+            FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, k WHERE len(w) >= k)
+        ),
+        m AS (SELECT doc_id, item_id, i, k FROM dw JOIN bw USING (k, s)),
+        hit AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM m) GROUP BY doc_id
+        ),
+        it AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+            FROM (SELECT DISTINCT doc_id, item_id FROM m) GROUP BY doc_id
+        )
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+            CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+            coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
+    """,
 }

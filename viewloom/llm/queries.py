@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from viewloom.llm.decontaminate import contamination
 from viewloom.llm.near_dedup import near_duplicate_groups
 from viewloom.llm.substring_dedup import remove_repeated_passages
 from viewloom.llm.suffix_dedup import remove_repeated_strings
@@ -25,8 +26,13 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_strings(table(spark, sf_dir, "documents"), length=400, with_text=False).drop("kept")
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13, one_in=20)
+
+
 QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
     "op7_near_dedup": op7_near_dedup,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op10_decontaminate": op10_decontaminate,
 }
