@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from viewloom.llm import language, quality
 from viewloom.llm.decontaminate import contamination
 from viewloom.llm.near_dedup import near_duplicate_groups
 from viewloom.llm.substring_dedup import remove_repeated_passages
@@ -14,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return language.predict(documents, language.train(documents))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_passages(table(spark, sf_dir, "documents"), window=50, with_text=False).drop("kept")
 
@@ -26,13 +32,20 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_strings(table(spark, sf_dir, "documents"), length=400, with_text=False).drop("kept")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return quality.score_quality(documents, quality.train(documents, table(spark, sf_dir, "labels")))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13, one_in=20)
 
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
     "op3_substring_dedup": op3_substring_dedup,
     "op7_near_dedup": op7_near_dedup,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_quality": op9_quality,
     "op10_decontaminate": op10_decontaminate,
 }

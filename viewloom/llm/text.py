@@ -51,8 +51,10 @@ class Block:
         return len(self.bounds) - 1
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = BLOCK_BYTES) -> Iterator[Block]:
-    """The batches' texts as blocks; a null text has no bytes and is not valid."""
+def blocks(
+    batches: Iterator[pa.RecordBatch], column: str = "text", size: int = BLOCK_BYTES, most: int = 1 << 14
+) -> Iterator[Block]:
+    """The batches' texts as blocks of ``most`` texts at most; a null text has no bytes and is not valid."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -66,14 +68,12 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
         raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
         if texts.null_count:  # a null may still span bytes
             lengths = np.where(valid, np.diff(ends), 0)
-            keep = np.zeros(int(ends[-1] - ends[0]) + 1, bool)
-            raw = np.concatenate([raw[a : a + n] for a, n in zip(ends[:-1], lengths)]) if lengths.sum() else raw[:0]
-            del keep
+            raw = np.concatenate([raw[a : a + n] for a, n in zip(ends[:-1], lengths)])
             ends = np.concatenate([[0], np.cumsum(lengths)])
         first = 0
         while first < len(texts):
             last = int(np.searchsorted(ends, ends[first] + size, "right")) - 1
-            last = min(max(last, first + 1), len(texts))
+            last = min(max(last, first + 1), first + most, len(texts))
             yield Block(
                 batch.slice(first, last - first),
                 raw[ends[first] : ends[last]],
@@ -156,3 +156,29 @@ def column(values: np.ndarray, kind: pa.DataType) -> pa.Array:
     if values.dtype == np.uint64:
         values = values.view(np.int64)
     return pa.array(values, kind)
+
+
+_LETTERS = None
+
+
+def letters(points: np.ndarray) -> np.ndarray:
+    """Code points in lower case where a letter, else a space."""
+    global _LETTERS
+    if _LETTERS is None:
+        table = np.full(1 << 16, 32, np.uint32)
+        for i in range(1 << 16):
+            lower = chr(i).lower()
+            if chr(i).isalpha():
+                table[i] = ord(lower) if len(lower) == 1 else i
+        _LETTERS = table
+    out = _LETTERS[np.minimum(points, 0xFFFF)]
+    for point in np.unique(points[points > 0xFFFF]):
+        out[points == point] = point if chr(point).isalpha() else 32
+    return out
+
+
+def code_points(block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """The block's code points and the bounds of its texts among them."""
+    points = np.frombuffer(block.data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+    before = np.concatenate([[0], np.cumsum((block.data & 0xC0) != 0x80)])
+    return points, before[block.bounds]
