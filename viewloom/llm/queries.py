@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from viewloom.llm import language, quality
+from viewloom.llm.ann import nearest
 from viewloom.llm.decontaminate import contamination
+from viewloom.llm.mixing import mix_sources
 from viewloom.llm.near_dedup import near_duplicate_groups
+from viewloom.llm.secret_scan import KINDS, count_of, scan_secrets, spans
 from viewloom.llm.substring_dedup import remove_repeated_passages
 from viewloom.llm.suffix_dedup import remove_repeated_strings
 
@@ -15,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return language.predict(documents, language.train(documents))
@@ -24,6 +33,20 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_passages(table(spark, sf_dir, "documents"), window=50, with_text=False).drop("kept")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3).drop("doc", "key")
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *[count_of(kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(spans(base_only=True), 256).alias("base_sha256"),
+        spans(base_only=False).alias("spans"),
+    )
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(table(spark, sf_dir, "documents"), percent=85)
 
@@ -42,8 +65,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ann": op1_ann,
     "op2_language_id": op2_language_id,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_mixing": op4_mixing,
+    "op6_secret_scan": op6_secret_scan,
     "op7_near_dedup": op7_near_dedup,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quality": op9_quality,
