@@ -256,6 +256,8 @@ def repeated_windows(
     # cores that occur once are settled: none of their windows occurs elsewhere
     shared = runs.groupBy("core").agg(F.count("*").alias("n"), F.min("doc").alias("x"), F.max("doc").alias("y"))
     shared = shared.where((F.col("n") > 1) & (F.lit(not earlier) | (F.col("x") < F.col("y")))).select("core")
+    # both sides of a join come from tables, so that a skewed key can be split
+    shared = staging.write(shared, "shared")
     seen = staging.write(runs.join(shared, "core", "left_semi"), "seen")
     staging.drop(runs)
 
@@ -271,6 +273,7 @@ def repeated_windows(
         F.count("*").alias("classes"), F.min("first").alias("x"), F.max("first").alias("y")
     )
     cores = cores.where((F.col("classes") > 1) & (F.lit(not earlier) | (F.col("x") < F.col("y"))))
+    cores = staging.write(cores.select("core"), "cores")
     classes_of_mixed = staging.write(classes.join(cores, "core", "left_semi"), "mixed")
 
     members = seen.join(classes.select("core", "span", "size", "first"), ["core", "span"])
@@ -294,13 +297,15 @@ def repeated_windows(
         rows = todo.mapInArrow(_parts(width, expand, level, shape), PARTS)
         rows = staging.write(rows, f"parts{level}")
         groups = rows.groupBy("parent", "core", "span").agg(F.sum("size").alias("n"), F.min("first").alias("f"))
+        groups = staging.write(groups, "groups")
         judged = rows.join(groups, ["parent", "core", "span"])
         yes = judged.where(found(F.col("n"), F.col("f"), F.col("first")))
         yes = yes.select("core0", "span0", "low", "high")
         answers = yes if answers is None else answers.unionByName(yes)
         if level + 1 < len(shape.steps):
             open_cores = groups.groupBy("parent", "core").agg(F.count("*").alias("c"))
-            left = rows.join(open_cores.where("c > 1").select("parent", "core"), ["parent", "core"], "left_semi")
+            open_cores = staging.write(open_cores.where("c > 1").select("parent", "core"), "open")
+            left = rows.join(open_cores, ["parent", "core"], "left_semi")
             left = left.groupBy("core0", "span0").agg(F.collect_list("part").alias("wanted"))
             todo = snippets.join(left, ["core0", "span0"])
     if answers is not None:
