@@ -10,6 +10,7 @@ from viewloom.llm.ann import nearest
 from viewloom.llm.decontaminate import contamination
 from viewloom.llm.mixing import mix_sources
 from viewloom.llm.near_dedup import near_duplicate_groups
+from viewloom.llm.quotes import reply_conversations
 from viewloom.llm.secret_scan import KINDS, count_of, scan_secrets, spans
 from viewloom.llm.substring_dedup import remove_repeated_passages
 from viewloom.llm.suffix_dedup import remove_repeated_strings
@@ -37,6 +38,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3).drop("doc", "key")
 
 
+def op5_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reply_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents"))
     return found.select(
@@ -69,6 +74,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_mixing": op4_mixing,
+    "op5_chat_quotes": op5_chat_quotes,
     "op6_secret_scan": op6_secret_scan,
     "op7_near_dedup": op7_near_dedup,
     "op8_suffix_dedup": op8_suffix_dedup,
