@@ -171,7 +171,9 @@ _TERMS = """
 _REGISTRY_MODELS = """
   SELECT p_partkey AS pos, 'p' || (p_partkey // 2) AS model_id,
     CASE WHEN p_size % 7 = 0 THEN NULL WHEN p_size % 6 = 0 THEN '' ELSE lower(p_type) END AS taxonomy_category
-  FROM part WHERE p_partkey % 10 <> 3"""
+  FROM part"""
+_CATALOG_MODELS = """
+  SELECT DISTINCT lower(p_type) AS taxonomy_category, 'lib.' || lower(p_brand) || '-' || lower(p_type) AS model_ref FROM part"""
 _KNOWN = ", ".join(f"'{c}'" for c in REGISTRY_CATEGORIES)
 _WITH_HUB = ", ".join(f"'{c}'" for c in REGISTRY_CATEGORIES[:3])
 
@@ -225,15 +227,15 @@ SELECT * FROM (SELECT absolute_time_index,
 WHERE step_us IS NOT NULL""",
     "port_edges": LINEITEM + "SELECT component, port, peer FROM edges",
     "peer_cardinality": LINEITEM
-    + """SELECT c.component, p.port, CASE WHEN count(e.peer) = 0 THEN 'No connection' ELSE 'Multiple connections' END
-    || ' found for component ''' || c.component || ''' on port ''' || p.port || '''' AS problem
+    + """SELECT c.component, p.port, CASE WHEN count(e.peer) = 0 THEN 'no_peer' ELSE 'several_peers' END
+    || ': ' || c.component || '.' || p.port AS problem
 FROM comps c CROSS JOIN (VALUES ('home'), ('hub'), ('aux')) p(port)
 LEFT JOIN edges e ON e.component = c.component AND e.port = p.port
 GROUP BY c.component, p.port HAVING count(DISTINCT e.peer) <> 1""",
     "components_by_model": LINEITEM + "SELECT model_ref, component FROM comps WHERE contains(model_ref, '.')",
     "models_by_category": f"""SELECT taxonomy_category, model_id FROM ({_REGISTRY_MODELS})
 WHERE taxonomy_category IS NOT NULL AND taxonomy_category <> ''""",
-    "model_violations": f"""WITH models AS ({_REGISTRY_MODELS}),
+    "model_violations": f"""WITH models AS (SELECT * FROM ({_REGISTRY_MODELS}) WHERE pos % 10 <> 3),
 latest AS (SELECT model_id, max_by(coalesce(taxonomy_category, '?'), pos) AS category FROM models GROUP BY model_id)
 SELECT 'model' AS rule, r.model_id AS subject,
   CASE WHEN l.model_id IS NULL THEN 'unknown model' ELSE 'model without category' END AS detail
@@ -246,9 +248,17 @@ FROM ({_PARSED})""",
 catalogs AS ({_CATALOGS})
 SELECT r.pos, r.reference, p.catalog_key, p.metric_id, l.terms_operator, l.time_operator,
   CASE WHEN p.pos IS NULL THEN 'reference_format' WHEN c.catalog_key IS NULL THEN 'unknown_catalog'
-       WHEN l.pos IS NULL THEN 'unknown_metric' WHEN l.time_operator <> 'sum' THEN 'time_operator' END AS problem
+       WHEN l.pos IS NULL THEN 'unknown_metric' WHEN l.terms_operator NOT IN ('sum', 'avg') THEN 'terms_operator'
+       WHEN l.time_operator <> 'sum' THEN 'time_operator' END AS problem
 FROM refs r LEFT JOIN parsed p ON p.pos = r.pos LEFT JOIN catalogs c ON c.catalog_key = p.catalog_key
 LEFT JOIN latest l ON l.catalog_key = p.catalog_key AND l.metric_id = p.metric_id""",
+    "skipped_references": f"""WITH parsed AS ({_PARSED}), latest AS ({_LATEST}), catalogs AS ({_CATALOGS})
+SELECT p.pos, p.reference FROM parsed p JOIN catalogs c ON c.catalog_key = p.catalog_key
+WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.catalog_key = p.catalog_key AND l.metric_id = p.metric_id)""",
+    "time_operator_violations": f"""WITH parsed AS ({_PARSED}), latest AS ({_LATEST})
+SELECT 'time_operator' AS rule, l.catalog_key || '.' || l.metric_id AS subject, l.time_operator AS detail
+FROM parsed p JOIN latest l ON l.catalog_key = p.catalog_key AND l.metric_id = p.metric_id
+WHERE l.time_operator <> 'sum'""",
     "catalog_violations": f"""WITH terms AS ({_TERMS})
 SELECT 'taxonomy_id' AS rule, catalog_key AS subject, taxonomy_id AS detail FROM ({_CATALOGS}) WHERE taxonomy_id <> 'tax'
 UNION ALL
@@ -264,7 +274,10 @@ SELECT 'unknown_operator' AS rule, catalog_key || '.' || metric_id AS subject, '
 UNION ALL
 SELECT 'missing_field', catalog_key || '.' || metric_id, 'taxonomy_category' FROM terms WHERE taxonomy_category IS NULL
 UNION ALL
-SELECT 'missing_field', catalog_key || '.' || metric_id, 'output_id' FROM terms WHERE output_id IS NULL""",
+SELECT 'missing_field', catalog_key || '.' || metric_id, 'output_id' FROM terms WHERE output_id IS NULL
+UNION ALL
+SELECT 'missing_field', catalog_key || '.' || metric_id, 'terms' FROM metrics m
+  WHERE NOT EXISTS (SELECT 1 FROM terms t WHERE t.catalog_key = m.catalog_key AND t.metric_id = m.metric_id)""",
     "metric_structure": LINEITEM + _STRUCTURE,
     "terms_sum": LINEITEM + _GRANULAR + " AND NOT is_avg",
     "terms_avg": LINEITEM + _GRANULAR + " AND is_avg",
@@ -284,28 +297,27 @@ SELECT 'missing_field', catalog_key || '.' || metric_id, 'output_id' FROM terms
     "located_components": LINEITEM
     + """, peers AS (SELECT component, port, min(peer) AS peer, count(*) AS n FROM edges GROUP BY component, port),
 found AS (SELECT c.component, v.port, CASE WHEN e.n = 1 THEN e.peer END AS peer,
-    CASE WHEN e.n IS NULL THEN 'No connection' WHEN e.n > 1 THEN 'Multiple connections' END
-      || ' found for component ' || chr(39) || c.component || chr(39) || ' on port ' || chr(39) || v.port || chr(39)
-      AS problem
+    CASE WHEN e.n IS NULL THEN 'no_peer' WHEN e.n > 1 THEN 'several_peers' END
+      || ': ' || c.component || '.' || v.port AS problem
   FROM comps c CROSS JOIN (VALUES ('home'), ('hub'), ('aux')) v(port)
   LEFT JOIN peers e ON e.component = c.component AND e.port = v.port
   WHERE contains(c.model_ref, '.')),
 wide AS (SELECT h.component, h.peer AS home, u.peer AS hub, a.peer AS aux,
-    h.problem AS home_problem, coalesce(u.problem, h.problem, a.problem) AS problem
+    h.problem AS home_problem, coalesce(u.problem, h.problem) AS two_problem,
+    coalesce(u.problem, h.problem, a.problem) AS problem
   FROM found h JOIN found u ON h.component = u.component JOIN found a ON h.component = a.component
   WHERE h.port = 'home' AND u.port = 'hub' AND a.port = 'aux')
 SELECT component, 0 AS "case", component AS metric_location, NULL AS location_problem FROM wide
 UNION ALL SELECT component, 1, home, home_problem FROM wide
-UNION ALL SELECT component, 2, CASE WHEN problem IS NULL THEN hub || '|' || home || '|' || aux END, problem FROM wide""",
+UNION ALL SELECT component, 2, CASE WHEN problem IS NULL THEN hub || '|' || home || '|' || aux END, problem FROM wide
+UNION ALL SELECT component, 3, CASE WHEN two_problem IS NULL THEN hub || '|' || home || '|' || hub END, two_problem FROM wide""",
     "selected_metrics": f"""WITH refs AS ({_PARSED}), latest AS ({_LATEST})
 SELECT refs.catalog_key, refs.metric_id, latest.terms_operator, count(*) AS mentions
 FROM refs JOIN latest ON refs.catalog_key = latest.catalog_key AND refs.metric_id = latest.metric_id
 GROUP BY refs.catalog_key, refs.metric_id, latest.terms_operator""",
-    "terms_with_models": f"""WITH terms AS ({_TERMS}),
-few AS (SELECT taxonomy_category, 'lib.' || max(model_id) AS model_ref FROM ({_REGISTRY_MODELS})
-  WHERE taxonomy_category <> '' GROUP BY taxonomy_category)
-SELECT t.catalog_key, t.metric_id, t.taxonomy_category, f.model_ref
-FROM terms t JOIN few f ON f.taxonomy_category = t.taxonomy_category""",
+    "terms_with_models": f"""WITH terms AS ({_TERMS})
+SELECT t.catalog_key, t.metric_id, t.taxonomy_category, m.model_ref
+FROM terms t JOIN ({_CATALOG_MODELS}) m ON m.taxonomy_category = t.taxonomy_category""",
     "taxonomy_categories": """SELECT 't' || p_partkey AS taxonomy_id, lower(p_type) AS category_id,
   CAST(NULL AS VARCHAR) AS parent_category FROM part
 UNION ALL SELECT 't' || p_partkey, 'bare', NULL FROM part""",

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import replace
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +18,11 @@ from viewloom.operators.references import (
     parse_references,
     resolve_references,
 )
+from viewloom.operators.references import skipped_references as find_skipped
 from viewloom.operators.structure import model_terms
 from viewloom.schemas import GRANULAR_COLUMNS, VIEW_COLUMNS
 from viewloom.sources import documents as docs
-from viewloom.staging import staging_root
+from viewloom.staging import new_folder
 
 DIGITS = 6  # engines add in different orders; results are compared to this many decimals
 
@@ -32,7 +32,7 @@ def _rounded(df: DataFrame, column: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{staging_root(spark)}/viewloom/{uuid4().hex}/{name}"
+    return f"{new_folder(spark, 'results')}/{name}"
 
 
 def _lineitem_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +97,9 @@ def models_by_category(spark, sf_dir):
 
 
 def model_violations(spark, sf_dir):
-    return checks.model_violations(t.requested_models(spark, sf_dir), t.registry_models(spark, sf_dir))
+    """Requested models that the library lacks, or that have no category; the library lacks a tenth."""
+    library = t.registry_models(spark, sf_dir).filter("pos % 10 <> 3")
+    return checks.model_violations(t.requested_models(spark, sf_dir), library)
 
 
 def metric_refs(spark, sf_dir):
@@ -117,6 +119,20 @@ def reference_problems(spark, sf_dir):
     )
 
 
+def skipped_references(spark, sf_dir):
+    """References to metrics that their catalog does not define, all of them."""
+    return find_skipped(
+        t.registry_references(spark, sf_dir),
+        t.registry_catalogs(spark, sf_dir),
+        latest_metric_definition(spark, sf_dir).drop("pos"),
+    )
+
+
+def time_operator_violations(spark, sf_dir):
+    references = parse_references(t.registry_references(spark, sf_dir))
+    return checks.time_operator_violations(resolve_references(references, latest_metric_definition(spark, sf_dir)))
+
+
 def catalog_violations(spark, sf_dir):
     taxonomy, ports = t.registry_taxonomy(spark)
     return checks.catalog_violations(
@@ -206,9 +222,12 @@ def view_append(spark, sf_dir):
 
 
 def located_components(spark, sf_dir):
-    """Every qualified component by itself, by one port and by three ports."""
+    """Every qualified component by itself, by one port and by three ports, in no alphabetical order."""
     ports = F.array(
-        F.lit(None).cast("array<string>"), F.array(F.lit("home")), F.array(F.lit("hub"), F.lit("home"), F.lit("aux"))
+        F.lit(None).cast("array<string>"),
+        F.array(F.lit("home")),
+        F.array(F.lit("hub"), F.lit("home"), F.lit("aux")),
+        F.array(F.lit("hub"), F.lit("home"), F.lit("hub")),
     )
     rows = vl.components_by_model(t.lineitem_components(spark, sf_dir)).select(
         "component", F.posexplode(ports).alias("case", "location_ports")
@@ -227,10 +246,8 @@ def terms_with_models(spark, sf_dir):
     """Terms of all registry metrics with a qualified model of their category."""
     terms = t.registry_terms(spark, sf_dir)
     metrics = terms.select("catalog_key", "metric_id", F.lit("sum").alias("terms_operator"))
-    last = t.registry_models(spark, sf_dir).groupBy("library_id", "taxonomy_category").agg(
-        F.max("model_id").alias("model_id")
-    )
-    return model_terms(metrics, terms, last).select("catalog_key", "metric_id", "taxonomy_category", "model_ref")
+    models = t.catalog_models(spark, sf_dir)
+    return model_terms(metrics, terms, models).select("catalog_key", "metric_id", "taxonomy_category", "model_ref")
 
 
 def taxonomy_categories(spark, sf_dir):
@@ -289,6 +306,8 @@ QUERIES = {
         metric_refs,
         latest_metric_definition,
         reference_problems,
+        skipped_references,
+        time_operator_violations,
         catalog_violations,
         definition_violations,
         metric_structure,

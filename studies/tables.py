@@ -328,18 +328,25 @@ def registry_taxonomy(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
 def registry_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Models with repeated ids; some have no category."""
     key, size = F.col("p_partkey"), F.col("p_size")
+    return table(spark, sf_dir, "part").select(
+        F.lit("lib").alias("library_id"),
+        key.alias("pos"),
+        F.concat(F.lit("p"), F.floor(key / 2).cast("string")).alias("model_id"),
+        F.when(size % 7 == 0, F.lit(None))
+        .when(size % 6 == 0, "")
+        .otherwise(F.lower("p_type"))
+        .alias("taxonomy_category"),
+    )
+
+
+def catalog_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model for each brand and type: several in each category."""
+    model = F.concat_ws("-", F.lower("p_brand"), F.lower("p_type"))
     return (
         table(spark, sf_dir, "part")
-        .filter(key % 10 != 3)
-        .select(
-            F.lit("lib").alias("library_id"),
-            key.alias("pos"),
-            F.concat(F.lit("p"), F.floor(key / 2).cast("string")).alias("model_id"),
-            F.when(size % 7 == 0, F.lit(None))
-            .when(size % 6 == 0, "")
-            .otherwise(F.lower("p_type"))
-            .alias("taxonomy_category"),
-        )
+        .groupBy(model.alias("model_id"), F.lower("p_type").alias("taxonomy_category"))
+        .agg(F.min("p_partkey").alias("pos"))
+        .select(F.lit("lib").alias("library_id"), "pos", "model_id", "taxonomy_category")
     )
 
 

@@ -38,7 +38,7 @@ def two_bus_dir(spark, tmp_path_factory):
 def two_bus(spark, two_bus_dir):
     from viewloom import load_study
 
-    study = load_study(spark, str(two_bus_dir), suffix="json")
+    study = load_study(spark, str(two_bus_dir))
     tables = {
         f.name: spark.createDataFrame(getattr(study, f.name).toArrow())
         for f in fields(study)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from viewloom import Limits, calendar_violations, filter_by_calendar, read_calendar, rows_in_calendar
 from viewloom import schemas as S
 from viewloom.operators.calendar import constant_rows, date_steps, summarise_calendar
-from viewloom.operators.checks import assert_calendar_columns
+from viewloom.operators.checks import calendar_column_violations
 
 START = datetime(2025, 1, 1)
 SPLIT = Limits(broadcast_bytes=0, hot_rows=2)
@@ -114,14 +114,14 @@ def test_date_steps(spark):
     assert {r["step"] for r in steps} == {timedelta(hours=1)}
 
 
-def test_column_names_and_order():
-    assert_calendar_columns(["absolute_time_index", "block", "granular_date"])
-    with pytest.raises(ValueError, match="missing columns: .'block'."):
-        assert_calendar_columns(["absolute_time_index", "granular_date"])
-    with pytest.raises(ValueError, match="unexpected columns: .'more'."):
-        assert_calendar_columns(["absolute_time_index", "block", "granular_date", "more"])
-    with pytest.raises(ValueError, match="wrong column order"):
-        assert_calendar_columns(["block", "absolute_time_index", "granular_date"])
+def test_column_names_and_order(spark):
+    rules = lambda *names: [tuple(r)[::2] for r in calendar_column_violations(spark, names).collect()]
+    assert rules("absolute_time_index", "block", "granular_date") == []
+    assert rules("absolute_time_index", "granular_date") == [("column_missing", "block")]
+    assert rules("absolute_time_index", "block", "granular_date", "more") == [("column_unknown", "more")]
+    assert rules("block", "absolute_time_index", "granular_date") == [
+        ("column_order", "block, absolute_time_index, granular_date")
+    ]
 
 
 def test_read_calendar(spark, tmp_path, two_bus_dir):
@@ -130,7 +130,7 @@ def test_read_calendar(spark, tmp_path, two_bus_dir):
     assert read.schema == S.CALENDAR_SCHEMA
     bad = tmp_path / "bad.csv"
     bad.write_text("absolute_time_index,block,granular_date,more\n0,1,2025-01-01 00:00:00,x\n")
-    with pytest.raises(ValueError, match="unexpected columns"):
+    with pytest.raises(ValueError, match="column_unknown: calendar: more"):
         read_calendar(spark, str(bad))
     empty = tmp_path / "empty.csv"
     empty.write_text("absolute_time_index,block,granular_date\n")

@@ -38,9 +38,9 @@ def test_edges_are_a_set_in_both_directions(connections):
 def test_peer_violations(spark, connections):
     needed = spark.createDataFrame([("a", "p"), ("c", "p"), ("d", "p"), ("zzz", "p")], "component string, port string")
     assert {tuple(r) for r in peer_violations(needed, connections).collect()} == {
-        ("c", "p", "Multiple connections found for component 'c' on port 'p'"),
-        ("d", "p", "No connection found for component 'd' on port 'p'"),
-        ("zzz", "p", "No connection found for component 'zzz' on port 'p'"),
+        ("c", "p", "several_peers: c.p"),
+        ("d", "p", "no_peer: d.p"),
+        ("zzz", "p", "no_peer: zzz.p"),
     }
 
 
@@ -66,8 +66,8 @@ def test_locate(spark, connections):
         4: ("hub|east", None),
         5: ("hub|hub", None),
         6: ("", None),
-        7: (None, "No connection found for component 'a' on port 'zzz'"),
-        8: (None, "Multiple connections found for component 'c' on port 'p'"),
+        7: (None, "no_peer: a.zzz"),
+        8: (None, "several_peers: c.p"),
     }
 
 

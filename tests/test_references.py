@@ -6,6 +6,7 @@ from viewloom.operators.references import (
     judged_references,
     latest_definitions,
     malformed_references,
+    skipped_references,
     unknown_catalogs,
     unknown_metrics,
 )
@@ -39,15 +40,17 @@ def test_last_definition_wins(spark):
 
 @pytest.fixture(scope="module")
 def metrics(spark):
-    return spark.createDataFrame([("a", "X", "sum", "sum"), ("a", "Y", "avg", "avg")], S.METRICS_SCHEMA)
+    rows = [("a", "X", "sum", "sum"), ("a", "Y", "avg", "avg"), ("a", "V", "max", "sum"), ("a", "W", None, "sum"), ("a", "U", "sum", None)]
+    return spark.createDataFrame(rows, S.METRICS_SCHEMA)
 
 
 def test_unknown(spark, metrics):
     catalogs = spark.createDataFrame([("a", "a", "t")], S.CATALOGS_SCHEMA)
-    refs = references(spark, "a.X", "a.Q", "z.X", "bad", "a.Y")
+    refs = references(spark, "a.X", "a.Q", "z.X", "bad", "a.Y", "a.V", "a.W", "a.U")
     parsed = metric_references(refs)
     assert [r["pos"] for r in unknown_catalogs(parsed, catalogs).collect()] == [2]
     assert sorted(r["pos"] for r in unknown_metrics(parsed, metrics).collect()) == [1, 2]
+    assert [tuple(r) for r in skipped_references(refs, catalogs, metrics).collect()] == [(1, "a.Q")]
     judged = {r["reference"]: r["problem"] for r in judged_references(refs, catalogs, metrics).collect()}
     assert judged == {
         "a.X": None,
@@ -55,6 +58,9 @@ def test_unknown(spark, metrics):
         "z.X": "unknown_catalog",
         "bad": "reference_format",
         "a.Y": "time_operator",
+        "a.V": "terms_operator",
+        "a.W": "terms_operator",
+        "a.U": "time_operator",
     }
 
 

@@ -7,12 +7,12 @@ from tests import two_bus as fixture
 from viewloom import append_view, load_study, read_simulation, read_view, write_filtered, write_granular, write_structure
 from viewloom import schemas as S
 from viewloom.sources import documents as docs
-from viewloom.sources.study import read_view_config
+from viewloom.sources.study import read_catalogs, read_view_config
 from viewloom.staging import stage, staging_root
 
 
-def document(spark, tmp_path, root, body, shape, suffix="json"):
-    path = tmp_path / f"{root}.{suffix}"
+def document(spark, tmp_path, root, body, shape):
+    path = tmp_path / f"{root}.json"
     path.write_text(json.dumps({root: body}))
     return docs.read_document(spark, str(path), shape)
 
@@ -53,7 +53,7 @@ def test_partitioned_simulation_directory(spark, two_bus, tmp_path):
 def test_simulation_columns_are_checked(spark, two_bus, tmp_path):
     path = str(tmp_path / "simulation_table.parquet")
     two_bus.simulation.drop("value").write.parquet(path)
-    with pytest.raises(ValueError, match="Missing columns"):
+    with pytest.raises(ValueError, match="column_missing: simulation: value"):
         read_simulation(spark, path)
 
 
@@ -71,7 +71,7 @@ def test_taxonomy(spark, tmp_path):
 def test_library(spark, tmp_path):
     models = docs.model_table(document(spark, tmp_path, "library", fixture.LIBRARY, docs.LIBRARY_DOCUMENT))
     assert models.filter("taxonomy_category = 'consumption'").select("library_id", "model_id").orderBy("pos").collect() == [
-        ("grid_models", "load"), ("grid_models", "store"),
+        ("pypsa_models", "load"), ("pypsa_models", "store"),
     ]
 
 
@@ -92,7 +92,7 @@ def test_catalog(spark, tmp_path):
     ]
     read = document(spark, tmp_path, "catalog", body, docs.CATALOG_DOCUMENT).withColumn("catalog_key", F.lit("file"))
     catalogs, metrics, terms = docs.catalog_tables(read)
-    assert rows(catalogs) == [("file", "inner_id", "my_taxonomy")]
+    assert rows(catalogs) == [("file", "test_example_pypsa", "my_taxonomy")]
     assert rows(metrics) == [("file", "A", "avg", "sum"), ("file", "B", "sum", "avg")]
     assert rows(terms) == [
         ("file", "A", 0, "x", "new", ["p"]),
@@ -101,22 +101,19 @@ def test_catalog(spark, tmp_path):
     ]
 
 
-@pytest.mark.parametrize("suffix", ["json", "yml"])
-def test_missing_root_key(spark, tmp_path, suffix):
-    if suffix == "yml":
-        pytest.importorskip("yaml")
-    path = tmp_path / f"catalog.{suffix}"
+def test_missing_root_key(spark, tmp_path):
+    path = tmp_path / "catalog.json"
     path.write_text(json.dumps({"catalogue": {}}))
     with pytest.raises(ValueError, match="missing the 'catalog' key"):
         docs.read_document(spark, str(path), docs.CATALOG_DOCUMENT)
 
 
-def test_yaml_keys_may_use_underscores(spark, tmp_path):
-    pytest.importorskip("yaml")
-    path = tmp_path / "library.yml"
-    path.write_text("library:\n  id: lib\n  models:\n  - id: m\n    taxonomy_category: gen\n")
-    models = docs.model_table(docs.read_document(spark, str(path), docs.LIBRARY_DOCUMENT))
-    assert rows(models) == [("lib", 0, "m", "gen")]
+def test_catalogs_are_read_at_once_under_their_files_names(spark, tmp_path):
+    for name in ("one", "two words"):
+        body = {**fixture.CATALOG, "metrics-definition": [fixture.metric("A", ("x", name, "p"))]}
+        (tmp_path / f"{name}.json").write_text(json.dumps({"catalog": body}))
+    terms = docs.catalog_tables(read_catalogs(spark, str(tmp_path), ["two words", "one", "one"]))[2]
+    assert rows(terms.select("catalog_key", "output_id")) == [("one", "one"), ("two words", "two words")]
 
 
 def view_config(spark, tmp_path, **changes):
@@ -137,16 +134,16 @@ def test_first_scope_entry_that_gives_a_value_counts(spark, tmp_path):
 
 
 def test_faulty_view_configs(spark, tmp_path):
-    with pytest.raises(ValueError, match="taxonomy-category"):
+    with pytest.raises(ValueError, match="scope_category"):
         view_config(spark, tmp_path, scope=[{"calendar": "c"}])
-    with pytest.raises(ValueError, match="calendar"):
+    with pytest.raises(ValueError, match="scope_calendar"):
         view_config(spark, tmp_path, scope=[{"taxonomy-category": "c"}])
-    with pytest.raises(ValueError, match="minute"):
+    with pytest.raises(ValueError, match="time_grain: view_area: minute"):
         view_config(spark, tmp_path, aggregation=[{"time": "minute"}])
 
 
 def test_system_may_come_as_tables(spark, two_bus_dir, two_bus):
-    study = load_study(spark, str(two_bus_dir), "json", two_bus.components, two_bus.connections)
+    study = load_study(spark, str(two_bus_dir), two_bus.components, two_bus.connections)
     assert study.components is two_bus.components and study.connections is two_bus.connections
 
 
@@ -159,7 +156,8 @@ def test_intermediate_tables_can_be_kept(spark, two_bus, tmp_path):
     assert structure.count() == 6
     granular = write_granular(aggregate_terms(filtered, structure), str(tmp_path / "granular"))
     assert granular.count() == 97
-    assert (tmp_path / "granular" / "metric_id=PROD").is_dir()
+    folders = list((tmp_path / "granular").glob("**/metric_id=PROD"))
+    assert len(folders) == 1 and len(list(folders[0].glob("*.parquet"))) == 1
 
 
 def test_view_can_be_appended_to(spark, tmp_path):

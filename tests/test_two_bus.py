@@ -1,8 +1,11 @@
 """End to end on the two-bus study."""
 
+import json
 import logging
+import shutil
 from dataclasses import replace
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,10 +50,53 @@ def test_balance(result):
     assert at(result, "BALANCE", "busB") == [(d, 2.0 * t - 100) for t, d in enumerate(DATES, 1)]
 
 
-def test_yaml_study_gives_the_same_view(spark, two_bus_dir, result):
-    pytest.importorskip("yaml")
-    view = build_view(load_study(spark, str(two_bus_dir)))
-    assert view.exceptAll(result).isEmpty() and result.exceptAll(view).isEmpty()
+def with_metric(study, metric_id, column, value):
+    chosen = F.when(F.col("metric_id") == metric_id, F.lit(value).cast("string")).otherwise(F.col(column))
+    return replace(study, metrics=study.metrics.withColumn(column, chosen))
+
+
+@pytest.mark.parametrize(
+    "column, value, error",
+    [
+        ("terms_operator", "max", ValueError),
+        ("terms_operator", None, ValueError),
+        ("time_operator", "avg", NotImplementedError),
+        ("time_operator", None, NotImplementedError),
+    ],
+)
+def test_unknown_and_absent_operators_are_refused(two_bus, column, value, error):
+    with pytest.raises(error, match=f"{column}: catalog.PROD"):
+        build_view(with_metric(two_bus, "PROD", column, value))
+
+
+@pytest.mark.parametrize("extra, number", [("simulation_table_old.parquet", 2), (None, 0)])
+def test_a_study_has_one_simulation_table(spark, two_bus_dir, tmp_path, extra, number):
+    path = tmp_path / "study"
+    shutil.copytree(two_bus_dir, path)
+    if extra:
+        shutil.copytree(path / "simulation_table.parquet", path / extra)
+    else:
+        (path / "simulation_table.parquet").rename(path / "table.parquet")
+    with pytest.raises(ValueError, match=f"has {number} tables, not one"):
+        load_study(spark, str(path))
+
+
+def test_a_metric_without_terms_is_refused(spark, two_bus_dir, tmp_path):
+    path = tmp_path / "study"
+    shutil.copytree(two_bus_dir, path)
+    catalog = json.loads((path / "catalogs" / "catalog.json").read_text())
+    catalog["catalog"]["metrics-definition"][0]["terms"] = None
+    (path / "catalogs" / "catalog.json").write_text(json.dumps(catalog))
+    with pytest.raises(Exception, match="missing_field: terms of catalog.PROD"):
+        build_view(load_study(spark, str(path)))
+
+
+def test_a_run_leaves_only_its_view(spark, two_bus, tmp_path):
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = {p.name for p in Path(root).iterdir()}
+    view = run(two_bus, str(tmp_path / "results"))
+    assert view.count() == 97
+    assert {p.name for p in Path(root).iterdir()} == before
 
 
 def test_structure_sizes(two_bus):
@@ -97,7 +143,7 @@ def test_unknown_metric_is_skipped_with_a_warning(spark, two_bus, caplog):
     study = replace(two_bus, references=references(spark, "catalog.NOPE", "catalog.LOAD"))
     with caplog.at_level(logging.WARNING):
         assert build_view(study).count() == 1
-    assert "Skipping catalog.NOPE" in caplog.text
+    assert "1 references are skipped, catalog.NOPE first" in caplog.text
 
 
 def test_nothing_selected_gives_an_empty_view(spark, two_bus):
@@ -127,14 +173,14 @@ def test_ambiguous_location_raises_for_selected_metrics_only(spark, two_bus):
         F.when(F.col("metric_id") == "LOAD", "balance").otherwise(F.col("taxonomy_category")),
     )
     study = replace(two_bus, terms=terms)
-    with pytest.raises(ValueError, match="Multiple connections found for component 'busA' on port 'p_balance_port'"):
+    with pytest.raises(ValueError, match="several_peers: busA.p_balance_port"):
         build_view(study)
     assert build_view(replace(study, references=references(spark, "catalog.PROD"))).count() == 48
 
 
 def test_missing_connection_raises(spark, two_bus):
     connections = two_bus.connections.filter("component2 <> 'generator_B1'")
-    with pytest.raises(ValueError, match="No connection found for component 'generator_B1'"):
+    with pytest.raises(ValueError, match="no_peer: generator_B1"):
         build_view(replace(two_bus, connections=connections))
 
 

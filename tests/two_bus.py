@@ -14,7 +14,7 @@ from viewloom.schemas import SIMULATION_SCHEMA
 
 BALANCE_PORT = "p_balance_port"
 
-# The study's documents.
+# The documents of the public two-bus study, as published; only CORRIDOR is added.
 TAXONOMY = {
     "id": "my_taxonomy",
     "description": "two buses",
@@ -31,7 +31,7 @@ TAXONOMY = {
     ],
 }
 LIBRARY = {
-    "id": "grid_models",
+    "id": "pypsa_models",
     "models": [
         {"id": model, "taxonomy-category": category}
         for model, category in {
@@ -49,7 +49,7 @@ LIBRARY = {
 SYSTEM = {
     "id": "two_bus",
     "components": [
-        {"id": component, "model": f"grid_models.{model}"}
+        {"id": component, "model": f"pypsa_models.{model}"}
         for component, model in {
             "generator_A1": "generator",
             "generator_A2": "generator",
@@ -87,7 +87,7 @@ def metric(metric_id, *terms, terms_operator="sum", time_operator="sum"):
 
 
 CATALOG = {
-    "id": "inner_id",
+    "id": "test_example_pypsa",
     "taxonomy": "my_taxonomy",
     "location": {"taxonomy-category": "balance"},
     "metrics-definition": [
@@ -133,9 +133,7 @@ def write_study(spark, path: Path, references=("catalog.PROD", "catalog.LOAD", "
         ("catalogs/catalog", "catalog", CATALOG),
         ("view_config", "view", view(*references)),
     ]:
-        text = json.dumps({root: body}, indent=1)
-        (path / f"{name}.json").write_text(text)
-        (path / f"{name}.yml").write_text(text)  # JSON is also YAML
+        (path / f"{name}.json").write_text(json.dumps({root: body}, indent=1))
     start = datetime(2025, 1, 1)
     lines = [f"{i},1,{start + timedelta(hours=i)}" for i in range(25)]
     (path / "calendar_file.csv").write_text("\n".join(["absolute_time_index,block,granular_date", *lines]) + "\n")

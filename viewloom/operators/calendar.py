@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewloom.operators.joins import DEFAULT_LIMITS, Limits, fits, lookup_join, row_bytes
+from viewloom.operators.joins import DEFAULT_LIMITS, Limits, lookup_join, row_bytes
 
 
 @dataclass(frozen=True)
@@ -110,11 +110,10 @@ def filter_by_calendar(
 
 def rows_in_calendar(filtered: DataFrame, calendar: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     """Time-dependent rows whose (index, block) is in the calendar; all of them after the filter."""
-    keys = calendar.select(
-        F.col("absolute_time_index").alias("_index"), F.col("block").alias("_block")
-    )
-    same = (F.col("absolute_time_index") == F.col("_index")) & _equal(filtered, keys, "block", "_block")
-    return filtered.join(F.broadcast(keys) if fits(keys, limits) else keys, same, "left_semi")
+    keys = calendar.select("absolute_time_index", F.col("block").alias("_block")).distinct()
+    same_block = _equal(filtered, keys, "block", "_block")
+    found = lookup_join(filtered, keys, ["absolute_time_index"], limits).filter(same_block)
+    return found.select(*filtered.columns)
 
 
 def date_steps(calendar: DataFrame) -> DataFrame:

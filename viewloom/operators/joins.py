@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 from viewloom.staging import stage
 
 ROW_OVERHEAD_BYTES = 48
-MAX_HOT_KEYS = 10_000
 
 
 @dataclass(frozen=True)
@@ -75,26 +74,28 @@ def split_join(
 ) -> DataFrame:
     """Inner shuffle join in which every hot key is spread over several tasks.
 
-    ``counts`` holds the rows per key of ``facts``. A key is hot above
-    ``max(hot_rows, total / MAX_HOT_KEYS)`` rows, so there are at most ``MAX_HOT_KEYS``
-    hot keys whatever the data, which bounds both the broadcast and the repetition.
+    ``counts`` holds the rows per key of ``facts``. A key is hot above ``hot_rows`` rows, so
+    there are at most as many hot keys as the table has rows over ``hot_rows``. They are
+    broadcast within the budget; beyond it they are joined by shuffle, which has to place each
+    key's rows once more.
     """
     on = list(on)
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    share = max(limits.hot_rows, total // MAX_HOT_KEYS, 1)
+    share = max(limits.hot_rows, 1)
     hot = counts.filter(F.col("n") > share).select(*on, F.ceil(F.col("n") / share).cast("int").alias("_ways"))
-    rest = [F.col(c) for c in facts.columns if c not in on]
+    hot = F.broadcast(hot) if fits(hot, limits) else hot.hint("merge")
+    rest = ["_part", *[c for c in facts.columns if c not in on]]
     # The input partition is part of the hash so that identical rows spread as well; the
     # result is the same when a task is run again.
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *rest), F.col("_ways"))
+    spread = F.pmod(F.xxhash64(*rest), F.col("_ways"))
     left = (
         facts.dropna(subset=on)
-        .join(F.broadcast(hot), on, "left")
+        .withColumn("_part", F.spark_partition_id())
+        .join(hot, on, "left")
         .withColumn("_salt", F.when(F.col("_ways").isNull(), F.lit(0)).otherwise(spread).cast("int"))
-        .drop("_ways")
+        .drop("_ways", "_part")
     )
     right = (
-        lookup.join(F.broadcast(hot), on, "left")
+        lookup.join(hot, on, "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ways"), F.lit(1)) - 1)))
         .drop("_ways")
     )

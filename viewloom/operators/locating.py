@@ -47,10 +47,8 @@ def port_peers(connections: DataFrame) -> DataFrame:
 
 
 def _problem(component: Column, port: Column, peer: Column, ambiguous: Column) -> Column:
-    where = F.concat(F.lit(" for component '"), component, F.lit("' on port '"), port, F.lit("'"))
-    return F.when(peer.isNull(), F.concat(F.lit("No connection found"), where)).when(
-        ambiguous, F.concat(F.lit("Multiple connections found"), where)
-    )
+    rule = F.when(peer.isNull(), "no_peer").when(ambiguous, "several_peers")
+    return F.concat(rule, F.lit(": "), component, F.lit("."), port)
 
 
 def peer_violations(needed: DataFrame, connections: DataFrame) -> DataFrame:

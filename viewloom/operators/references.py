@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.functions import is_wellformed_reference, reference_catalog, reference_metric
+from viewloom.operators.joins import DEFAULT_LIMITS, Limits, lookup_join
+from viewloom.schemas import OPERATORS
 
 
 def parse_references(references: DataFrame) -> DataFrame:
@@ -19,7 +21,7 @@ def parse_references(references: DataFrame) -> DataFrame:
     )
 
 
-def metric_references(references: DataFrame) -> DataFrame:
+def metric_references(references: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     """Well-formed references as (catalog_pos, pos, catalog_key, metric_id).
 
     The view lists metrics by catalog, catalogs by first mention: order by
@@ -28,11 +30,12 @@ def metric_references(references: DataFrame) -> DataFrame:
     """
     parsed = parse_references(references)
     first_mention = parsed.groupBy("catalog_key").agg(F.min("pos").alias("catalog_pos"))
-    return parsed.join(first_mention, "catalog_key").select("catalog_pos", "pos", "catalog_key", "metric_id")
+    found = lookup_join(parsed, first_mention, ["catalog_key"], limits)
+    return found.select("catalog_pos", "pos", "catalog_key", "metric_id")
 
 
 def malformed_references(references: DataFrame) -> DataFrame:
-    return references.filter(~is_wellformed_reference(F.col("reference")))
+    return references.filter(~F.coalesce(is_wellformed_reference(F.col("reference")), F.lit(False)))
 
 
 def latest_definitions(definitions: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -47,25 +50,43 @@ def resolve_references(references: DataFrame, metrics: DataFrame) -> DataFrame:
     return references.join(metrics, ["catalog_key", "metric_id"], "inner")
 
 
-def judged_references(references: DataFrame, catalogs: DataFrame, metrics: DataFrame) -> DataFrame:
-    """Every reference with its metric's operators and a ``problem``, null where it can be built."""
-    catalog_ids = catalogs.select("catalog_key", F.lit(True).alias("_catalog")).distinct()
-    found = (
-        references.withColumn("_wellformed", is_wellformed_reference(F.col("reference")))
-        .withColumn("catalog_key", F.when(F.col("_wellformed"), reference_catalog(F.col("reference"))))
-        .withColumn("metric_id", F.when(F.col("_wellformed"), reference_metric(F.col("reference"))))
-        .join(catalog_ids, "catalog_key", "left")
-        .join(metrics, ["catalog_key", "metric_id"], "left")
+def judged_references(
+    references: DataFrame, catalogs: DataFrame, metrics: DataFrame, limits: Limits = DEFAULT_LIMITS
+) -> DataFrame:
+    """Every reference with its metric's operators and a ``problem``, null where it can be built.
+
+    Distinct references are judged once: a catalog or metric that many references name is one row
+    of the lookups, and references that name nothing take no part in them.
+    """
+    columns = ["pos", "reference", "catalog_key", "metric_id", "terms_operator", "time_operator", "problem"]
+    wellformed = is_wellformed_reference(F.col("reference"))
+    named = references.filter(wellformed).select(
+        "pos",
+        "reference",
+        reference_catalog(F.col("reference")).alias("catalog_key"),
+        reference_metric(F.col("reference")).alias("metric_id"),
     )
+    keys = ["catalog_key", "metric_id"]
+    known_catalogs = catalogs.select("catalog_key", F.lit(True).alias("_catalog")).distinct()
+    known = named.select(*keys).distinct().join(known_catalogs, "catalog_key", "left")
+    known = known.join(metrics.select(*keys, "terms_operator", "time_operator", F.lit(True).alias("_metric")), keys, "left")
     problem = (
-        F.when(~F.col("_wellformed"), "reference_format")
-        .when(F.col("_catalog").isNull(), "unknown_catalog")
-        .when(F.col("terms_operator").isNull(), "unknown_metric")
-        .when(F.col("time_operator") != "sum", "time_operator")
+        F.when(F.col("_catalog").isNull(), "unknown_catalog")
+        .when(F.col("_metric").isNull(), "unknown_metric")
+        .when(~F.coalesce(F.col("terms_operator").isin(*OPERATORS), F.lit(False)), "terms_operator")
+        .when(~F.coalesce(F.col("time_operator") == "sum", F.lit(False)), "time_operator")
     )
-    return found.select(
-        "pos", "reference", "catalog_key", "metric_id", "terms_operator", "time_operator", problem.alias("problem")
+    known = known.select(*keys, "terms_operator", "time_operator", problem.alias("problem"))
+    malformed = malformed_references(references).select(
+        "pos", "reference", *[F.lit(None).cast("string").alias(c) for c in columns[2:6]], F.lit("reference_format").alias("problem")
     )
+    return lookup_join(named, known, keys, limits).select(*columns).unionByName(malformed)
+
+
+def skipped_references(references: DataFrame, catalogs: DataFrame, metrics: DataFrame) -> DataFrame:
+    """(pos, reference) of every reference to a metric that its catalog does not define; a view has none of them."""
+    judged = judged_references(references, catalogs, metrics)
+    return judged.filter(F.col("problem") == "unknown_metric").select("pos", "reference")
 
 
 def unknown_catalogs(references: DataFrame, catalogs: DataFrame) -> DataFrame:

@@ -43,7 +43,9 @@ def instances_of_model(components: DataFrame, model_ref: str) -> DataFrame:
     return components_by_model(components).filter(F.col("model_ref") == model_ref).select("component")
 
 
-def model_terms(metrics: DataFrame, terms: DataFrame, models: DataFrame) -> DataFrame:
+def model_terms(
+    metrics: DataFrame, terms: DataFrame, models: DataFrame, limits: Limits = DEFAULT_LIMITS
+) -> DataFrame:
     """Terms of ``metrics`` with the qualified models of their category."""
     categories = (
         categorised_models(models)
@@ -51,7 +53,8 @@ def model_terms(metrics: DataFrame, terms: DataFrame, models: DataFrame) -> Data
         .groupBy("taxonomy_category", "model_ref")
         .agg(F.count(F.lit(1)).alias("_models"))
     )
-    return terms.join(metrics, METRIC_KEYS).join(categories, "taxonomy_category")
+    wanted = lookup_join(terms, metrics, METRIC_KEYS, limits)
+    return lookup_join(categories, wanted, ["taxonomy_category"], limits)
 
 
 def metric_structure(
@@ -74,7 +77,7 @@ def metric_structure(
         .groupBy("component", "model_ref")
         .agg(F.count(F.lit(1)).alias("_instances"))
     )
-    wanted = stage(model_terms(metrics, terms, models), "model_terms")
+    wanted = stage(model_terms(metrics, terms, models, limits), "model_terms")
     rows = lookup_join(instances, wanted, ["model_ref"], limits).withColumn(
         "_copies", F.col("_instances") * F.col("_models")
     )

@@ -16,14 +16,19 @@ from viewloom.operators.structure import METRIC_KEYS, metric_structure
 from viewloom.schemas import VIEW_COLUMNS
 from viewloom.sources.study import Study
 from viewloom.sources.views import read_view, write_view
-from viewloom.staging import stage
+from viewloom.staging import released, stage
 
 log = logging.getLogger(__name__)
 
-MAX_PUSHED_OUTPUTS = 500
+#: The exact list of outputs is a scan predicate up to so many bytes; their range always is one.
+PUSHED_BYTES = 1 << 20
 REFERENCE_ERRORS = {
     "reference_format": (ValueError, "reference_format: '{reference}' is not '<catalog_id>.<metric_id>'"),
     "unknown_catalog": (KeyError, "unknown_catalog: '{reference}' names a catalog that the view does not list"),
+    "terms_operator": (
+        ValueError,
+        "terms_operator: {reference} asks for {terms_operator}, only sum and avg are supported",
+    ),
     "time_operator": (
         NotImplementedError,
         "time_operator: {reference} asks for {time_operator}, only sum is supported",
@@ -33,8 +38,8 @@ REFERENCE_ERRORS = {
 
 def validate_study(study: Study) -> None:
     """All checks that need metadata and calendar only; run before any heavy work."""
-    checks.assert_simulation_columns(study.simulation)
-    checks.assert_calendar_columns(study.calendar.columns)
+    checks.assert_clean(checks.simulation_column_violations(study.simulation))
+    checks.assert_clean(checks.calendar_column_violations(study.calendar.sparkSession, study.calendar.columns))
     taxonomy_ids = study.taxonomy.select("taxonomy_id").distinct().limit(2).collect()
     if len(taxonomy_ids) != 1:
         raise ValueError("The study needs exactly one taxonomy")
@@ -51,18 +56,20 @@ def validate_study(study: Study) -> None:
 
 
 def _usable_references(study: Study) -> DataFrame:
-    """References that the view is built from. Raises for malformed ones, unknown catalogs
-    and unsupported time operators; warns of unknown metrics and skips them."""
+    """References that the view is built from. Raises for malformed ones, unknown catalogs and
+    unsupported operators; logs how many name unknown metrics and skips them
+    (``skipped_references`` returns all of these)."""
     judged = judged_references(study.references, study.catalogs, study.metrics)
-    skippable = F.col("problem") == "unknown_metric"
-    shown = judged.filter(F.col("problem").isNotNull()).orderBy(skippable, "pos").limit(checks.SHOWN + 1).collect()
-    for row in shown[: checks.SHOWN]:
-        if row["problem"] != "unknown_metric":
-            error, message = REFERENCE_ERRORS[row["problem"]]
-            raise error(message.format(**row.asDict()))
-        log.warning("Skipping %s: its catalog does not define it", row["reference"])
-    if len(shown) > checks.SHOWN:
-        log.warning("More references are skipped for the same reason")
+    first = F.min_by(F.struct("reference", "terms_operator", "time_operator"), "pos").alias("first")
+    problems = judged.groupBy("problem").agg(F.count("*").alias("n"), F.min("pos").alias("pos"), first).collect()
+    faults = [row for row in problems if row["problem"] in REFERENCE_ERRORS]
+    if faults:
+        row = min(faults, key=lambda r: r["pos"])
+        error, message = REFERENCE_ERRORS[row["problem"]]
+        raise error(message.format(**row["first"].asDict()) + f" ({row['n']} references in all)")
+    for row in problems:
+        if row["problem"] == "unknown_metric":
+            log.warning("%s references are skipped, %s first: no definition", row["n"], row["first"]["reference"])
     return judged.filter(F.col("problem").isNull())
 
 
@@ -80,7 +87,8 @@ def study_structure(study: Study, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
 
 
 def build_view(study: Study, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    """The view of all references, lazily; only metadata work runs here.
+    """The view of all references. The fact table is read when the result is; the metadata work
+    (judging references, resolving, staging and measuring the structure) runs here.
 
     The structure is staged, checked and measured. The fact table is then read with the
     calendar's index range and the metrics' outputs as scan predicates, and aggregated
@@ -88,8 +96,8 @@ def build_view(study: Study, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
 
     * A metric referenced twice is aggregated once; its rows repeat at the end.
     * Rows are grouped by a fingerprint of (catalog, metric, location) instead of those
-      texts, which are broadcast to the result. If fingerprints collide or the groups are
-      too many to broadcast, rows are grouped by the texts.
+      texts, which are joined to the result, by broadcast if they fit. If fingerprints
+      collide, rows are grouped by the texts.
     * Time aggregation folds into terms aggregation where the calendar has one index per
       date, or no metric takes a mean.
     """
@@ -108,16 +116,17 @@ def build_view(study: Study, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
 
     summary = summarise_calendar(study.calendar)
     simulation = study.simulation
-    outputs = structure.select("output").distinct().limit(MAX_PUSHED_OUTPUTS + 1).collect()
-    if len(outputs) <= MAX_PUSHED_OUTPUTS:
-        simulation = simulation.filter(F.col("output").isin([row["output"] for row in outputs]))
+    if measured["first_output"] is not None:
+        simulation = simulation.filter(F.col("output").between(measured["first_output"], measured["last_output"]))
+    outputs = structure.select("output").distinct()
+    if measured["outputs"] * measured["output_bytes"] <= PUSHED_BYTES:
+        simulation = simulation.filter(F.col("output").isin([row["output"] for row in outputs.collect()]))
     filtered = filter_by_calendar(simulation, study.calendar, limits, summary)
 
     labels = [*METRIC_GROUP, "mentions"]
     groups = structure.select("group_id", *labels).distinct()
-    by_fingerprint = measured["fingerprints"] == measured["groups"] and (
-        measured["group_bytes"] <= limits.broadcast_bytes or fits(groups, limits)
-    )
+    by_fingerprint = measured["fingerprints"] == measured["groups"]
+    few_groups = measured["group_bytes"] <= limits.broadcast_bytes or (by_fingerprint and fits(groups, limits))
     keys = ["group_id"] if by_fingerprint else labels
     is_avg = F.col("terms_operator") == "avg" if measured["means"] else F.lit(False)  # a literal leaves the key
     links = structure.select("component", "output", *keys, is_avg.alias("is_avg"), "copies")
@@ -127,7 +136,7 @@ def build_view(study: Study, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     else:
         view = time_values(terms_values(joined, keys), keys)
     if by_fingerprint:
-        view = view.join(F.broadcast(groups), "group_id")
+        view = view.join(F.broadcast(groups) if few_groups else groups.hint("merge"), "group_id")
     if (measured["mentions"] or 1) > 1:
         view = view.withColumn("_mention", F.explode(F.sequence(F.lit(1), F.col("mentions"))))
     return view.select(*VIEW_COLUMNS)
@@ -143,6 +152,10 @@ def _measure(structure: DataFrame) -> Row:
         F.count("location_problem").alias("problems"),
         F.count_if(F.col("terms_operator") == "avg").alias("means"),
         F.max("mentions").alias("mentions"),
+        F.min("output").alias("first_output"),
+        F.max("output").alias("last_output"),
+        F.countDistinct("output").alias("outputs"),
+        F.coalesce(F.max(F.octet_length("output")), F.lit(0)).alias("output_bytes"),
         F.countDistinct("group_id").alias("fingerprints"),
         F.countDistinct(*METRIC_GROUP).alias("groups"),
     ).first()
@@ -150,7 +163,9 @@ def _measure(structure: DataFrame) -> Row:
 
 def run(study: Study, results: str, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     """Validate, build, write; returns the re-opened view."""
+    spark = study.simulation.sparkSession
     validate_study(study)
-    path = write_view(build_view(study, limits), results)
+    with released(spark):
+        path = write_view(build_view(study, limits), results)
     log.info("View written to %s", path)
-    return read_view(study.simulation.sparkSession, path)
+    return read_view(spark, path)

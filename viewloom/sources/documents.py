@@ -1,23 +1,16 @@
 """Study documents (taxonomy, library, system, catalogs, view) as nested tables.
 
-A document is one nested row with a fixed schema; the tables are exploded from it.
-JSON needs Spark only. YAML, the usual form, is turned to JSON in a task by a small
-helper where PyYAML is installed.
+A document is one nested row with a fixed schema, read from JSON; the tables are exploded
+from it.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-from typing import Any
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewloom.functions import or_empty, parse_ports
 from viewloom.operators.references import latest_definitions
-from viewloom.staging import stage
 
 _ITEMS = "array<struct<id: string>>"
 
@@ -43,35 +36,21 @@ view struct<id: string, scope: array<struct<`taxonomy-category`: string, calenda
   aggregation: array<struct<time: string>>, catalog: {_ITEMS}, metrics: {_ITEMS}>"""
 
 
-def _dashed(node: Any) -> Any:
-    if isinstance(node, dict):
-        return {str(k).replace("_", "-"): _dashed(v) for k, v in node.items()}
-    if isinstance(node, list):
-        return [_dashed(v) for v in node]
-    return node
-
-
-def _yaml_to_json(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import yaml
-
-    loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
-    for batch in batches:
-        texts = [json.dumps(_dashed(yaml.load(text, Loader=loader)), default=str) for text in batch["value"]]
-        yield pd.DataFrame({"text": texts})
+def read_document(spark: SparkSession, path: str, shape: str) -> DataFrame:
+    """One document as one row with the fields below the root that ``shape`` names first."""
+    return read_documents(spark, [path], shape, "_name").drop("_name")
 
 
-def read_document(spark: SparkSession, path: str, shape: str) -> DataFrame:
-    """One document as one row with the single column that ``shape`` names first."""
+def read_documents(spark: SparkSession, paths: list[str], shape: str, key: str) -> DataFrame:
+    """Documents in one read, each a row with ``key``, its file's name without extension."""
     root = shape.split(maxsplit=1)[0]
-    if path.endswith((".yml", ".yaml")):
-        text = spark.read.text(path, wholetext=True).mapInPandas(_yaml_to_json, "text string")
-        parsed = F.from_json("text", shape, {"mode": "FAILFAST"}).alias("doc")
-        document = stage(text.select(parsed).select("doc.*"), root)
-    else:
-        document = spark.read.schema(shape).option("multiLine", True).option("mode", "FAILFAST").json(path)
-    if document.filter(F.col(root).isNotNull()).isEmpty():
-        raise ValueError(f"{path} is missing the '{root}' key at the root")
-    return document.select(f"{root}.*")
+    reader = spark.read.schema(shape).option("multiLine", True).option("mode", "FAILFAST")
+    name = F.regexp_extract(F.input_file_name(), r"([^/]+)\.json$", 1)
+    documents = reader.json(paths).withColumn(key, F.url_decode(name))
+    rootless = documents.filter(F.col(root).isNull()).select(key).limit(1).collect()
+    if rootless or documents.isEmpty():
+        raise ValueError(f"missing the '{root}' key at the root: {rootless[0][0] if rootless else paths}")
+    return documents.select(key, f"{root}.*")
 
 
 def headers(document: DataFrame) -> DataFrame:
@@ -125,7 +104,9 @@ def catalog_tables(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFram
         F.col("m.terms-operator").alias("terms_operator"),
         F.col("m.time-operator").alias("time_operator"),
     )
-    terms = latest.select("catalog_key", "metric_id", F.posexplode("m.terms").alias("term_ord", "t")).select(
+    without = F.raise_error(F.concat(F.lit("missing_field: terms of "), "catalog_key", F.lit("."), "metric_id"))
+    given = F.when(F.col("m.terms").isNull(), without).otherwise(F.col("m.terms"))
+    terms = latest.select("catalog_key", "metric_id", F.posexplode(given).alias("term_ord", "t")).select(
         "catalog_key",
         "metric_id",
         "term_ord",

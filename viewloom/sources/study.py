@@ -4,17 +4,16 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewloom.sources import documents as docs
-from viewloom.operators.calendar import calendar_violations
 from viewloom.operators.checks import assert_clean
 from viewloom.schemas import TIME_GRAINS
 from viewloom.sources.calendar import read_calendar
 from viewloom.sources.simulation import read_simulation
+from viewloom.staging import file_system
 
 log = logging.getLogger(__name__)
 
@@ -48,6 +47,22 @@ class Study:
     view: ViewConfig | None = None
 
 
+def view_violations(document: DataFrame) -> DataFrame:
+    """(rule, subject, detail): a view that names no category or calendar, or an unknown grain."""
+    given = lambda name: F.exists("scope", lambda s: s[name].isNotNull() & (s[name] != ""))
+    grain = F.try_element_at("aggregation", F.lit(1))["time"]
+    contract = [
+        ("scope_category", F.coalesce(given("taxonomy-category"), F.lit(False)), F.lit("")),
+        ("scope_calendar", F.coalesce(given("calendar"), F.lit(False)), F.lit("")),
+        ("time_grain", grain.isNull() | grain.isin(*TIME_GRAINS), F.coalesce(grain, F.lit(""))),
+    ]
+    rules = F.array(
+        *(F.struct(F.lit(r).alias("rule"), h.alias("holds"), d.alias("detail")) for r, h, d in contract)
+    )
+    broken = document.select("id", F.explode(rules).alias("r")).filter("NOT r.holds")
+    return broken.select("r.rule", F.col("id").alias("subject"), "r.detail")
+
+
 def read_view_config(document: DataFrame) -> ViewConfig:
     """Scalars of a view document: the first category, calendar and grain that are given."""
 
@@ -62,65 +77,62 @@ def read_view_config(document: DataFrame) -> ViewConfig:
         F.try_element_at("aggregation", F.lit(1))["time"].alias("grain"),
         F.transform("catalog", lambda c: c["id"]).alias("catalogs"),
     ).first()
-    if row["category"] is None:
-        raise ValueError(f"view '{row['id']}': no 'taxonomy-category' found in scope")
-    if row["calendar"] is None:
-        raise ValueError(f"view '{row['id']}': no calendar configured in scope")
-    if row["grain"] is not None and row["grain"] not in TIME_GRAINS:
-        raise ValueError(f"view '{row['id']}': unknown time aggregation '{row['grain']}'")
+    assert_clean(view_violations(document))
     return ViewConfig(row["id"], row["calendar"], row["category"], row["grain"], list(row["catalogs"] or []))
 
 
-def read_catalogs(spark: SparkSession, path: str, catalog_ids: list[str], suffix: str = "yml") -> DataFrame:
+def read_catalogs(spark: SparkSession, path: str, catalog_ids: list[str]) -> DataFrame:
     """Catalog documents under the ids of their files, which is what references name."""
     if not catalog_ids:
         raise ValueError("The view names no catalog")
-    read = [
-        docs.read_document(spark, f"{path}/{key}.{suffix}", docs.CATALOG_DOCUMENT).withColumn(
-            "catalog_key", F.lit(key)
-        )
-        for key in dict.fromkeys(catalog_ids)
-    ]
-    return reduce(DataFrame.unionByName, read)
+    paths = [f"{path}/{key}.json" for key in dict.fromkeys(catalog_ids)]
+    return docs.read_documents(spark, paths, docs.CATALOG_DOCUMENT, "catalog_key")
+
+
+def simulation_path(spark: SparkSession, path: str) -> str:
+    """The study's one simulation table; several or none make no study."""
+    files, where = file_system(spark, f"{path}/simulation_table*.parquet")
+    found = sorted(str(match.getPath()) for match in files.globStatus(where) or [])
+    if len(found) != 1:
+        raise ValueError(f"simulation_table: {path} has {len(found)} tables, not one: {', '.join(found)}")
+    return found[0]
 
 
 def load_study(
     spark: SparkSession,
     path: str,
-    suffix: str = "yml",
     components: DataFrame | None = None,
     connections: DataFrame | None = None,
 ) -> Study:
     """Study directory -> lazy tables. Only documents and the calendar are read here.
 
     Documents are ``view_config``, ``taxonomy``, ``library``, ``system`` and
-    ``catalogs/<id>`` with ``suffix`` yml or json; the calendar is ``<calendar id>.csv``
-    and the fact table ``simulation_table*.parquet``. A document is parsed in one task,
-    so a system of many millions of components should come as tables instead: pass
+    ``catalogs/<id>``, all ``.json``; the calendar is ``<calendar id>.csv`` and the fact
+    table the one ``simulation_table*.parquet``. A document is parsed in one task, so a
+    system of many millions of components should come as tables instead: pass
     ``components`` and ``connections`` and ``system`` is not read.
     """
     path = path.rstrip("/")
-    view_document = docs.read_document(spark, f"{path}/view_config.{suffix}", docs.VIEW_DOCUMENT)
+    view_document = docs.read_document(spark, f"{path}/view_config.json", docs.VIEW_DOCUMENT)
     view = read_view_config(view_document)
     taxonomy, taxonomy_ports = docs.taxonomy_tables(
-        docs.read_document(spark, f"{path}/taxonomy.{suffix}", docs.TAXONOMY_DOCUMENT)
+        docs.read_document(spark, f"{path}/taxonomy.json", docs.TAXONOMY_DOCUMENT)
     )
     if components is None or connections is None:
-        system = docs.read_document(spark, f"{path}/system.{suffix}", docs.SYSTEM_DOCUMENT)
+        system = docs.read_document(spark, f"{path}/system.json", docs.SYSTEM_DOCUMENT)
         read_components, read_connections = docs.system_tables(system)
         components = read_components if components is None else components
         connections = read_connections if connections is None else connections
     catalogs, metrics, terms = docs.catalog_tables(
-        read_catalogs(spark, f"{path}/catalogs", view.catalog_ids, suffix)
+        read_catalogs(spark, f"{path}/catalogs", view.catalog_ids)
     )
     calendar = read_calendar(spark, f"{path}/{view.calendar_id}.csv")
-    assert_clean(calendar_violations(calendar))
     study = Study(
-        simulation=read_simulation(spark, f"{path}/simulation_table*.parquet"),
+        simulation=read_simulation(spark, simulation_path(spark, path)),
         calendar=calendar,
         taxonomy=taxonomy,
         taxonomy_ports=taxonomy_ports,
-        models=docs.model_table(docs.read_document(spark, f"{path}/library.{suffix}", docs.LIBRARY_DOCUMENT)),
+        models=docs.model_table(docs.read_document(spark, f"{path}/library.json", docs.LIBRARY_DOCUMENT)),
         components=components,
         connections=connections,
         catalogs=catalogs,

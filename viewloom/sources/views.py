@@ -19,6 +19,7 @@ def _writer(df: DataFrame) -> DataFrameWriter:
 
 def write_view(view: DataFrame, results: str) -> str:
     """Write the view as ``<results>/view<UTC stamp>.parquet`` and return that path."""
+    # Fixed value: the name that views are found by.
     stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S")
     path = f"{results.rstrip('/')}/view{stamp}.parquet"
     _writer(view).parquet(path)
@@ -48,5 +49,8 @@ def write_structure(structure: DataFrame, path: str) -> DataFrame:
 
 
 def write_granular(granular: DataFrame, path: str) -> DataFrame:
-    _writer(granular).partitionBy("metric_id").parquet(path)
+    """Partitioned by catalog, where there is one, and metric. Rows are dealt out by these and evenly
+    within them first, so that a task writes few files and a large metric many."""
+    folders = [name for name in ("catalog_key", "metric_id") if name in granular.columns]
+    _writer(granular.hint("rebalance", *folders)).partitionBy(*folders).parquet(path)
     return granular.sparkSession.read.schema(granular.schema).parquet(path)

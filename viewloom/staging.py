@@ -1,34 +1,68 @@
 """Tables written once and read back, to cut lineage between stages.
 
 Staged tables live in the shared folder named by ``spark.checkpoint.dir``, so a lost
-executor never takes one with it, and every later use reads columnar files.
+executor never takes one with it, and every later use reads columnar files. ``released``
+removes what was staged within it; the rest goes when the driver's JVM ends.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def staging_root(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; a local session without it uses its warehouse, a cluster is refused."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local["):
         raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.conf.get("spark.app.id", "local")
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="viewloom-")
-    return _local_roots[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/staging"
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path``, and the path in its terms."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the staging root that is removed when the driver's JVM ends."""
+    path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    files, where = file_system(spark, path)
+    files.mkdirs(where)
+    files.deleteOnExit(where)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, where = file_system(spark, path)
+    files.delete(where, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the staging root and return a reader of what was written."""
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/viewloom/{uuid.uuid4().hex}/{name}"
+    folder = new_folder(spark, f"viewloom-{name}")
+    if _scopes:
+        _scopes[-1].append(folder)
+    path = f"{folder}/{name}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables that are staged within; nothing that reads them may be used afterwards."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for folder in _scopes.pop():
+            remove(spark, folder)
