@@ -50,16 +50,20 @@ class Shape:
 class Ladder:
     """Identifiers of substrings, from identifiers of its first and last 2**k symbols."""
 
-    def __init__(self, symbols: np.ndarray, least: int, most: int):
-        self.rungs = {}
+    def __init__(self, symbols: np.ndarray, least: int, most: int, seed: int | None = None):
+        self.rungs, self.seeds = {}, None
         ids, k = symbols, 0
         while True:
+            if (1 << k) == seed:
+                self.seeds = ids
             if (2 << k) > least:
                 self.rungs[k] = ids
             if (2 << k) > most or len(ids) <= (1 << k):
                 break
             ids = pair(ids[: -(1 << k)], ids[1 << k :])
             k += 1
+        if seed and self.seeds is None:  # a length between two rungs
+            self.seeds = run_hashes(symbols, seed)
 
     def ids(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         sizes = ends - starts
@@ -80,11 +84,10 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: -(width - have)], values[width - have :]) if have < width else values
 
 
-def seeds_of_windows(symbols: np.ndarray, bounds: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of all whole windows, and the position of each one's seed."""
-    if len(symbols) < shape.length:
+def seeds_of_windows(seeds: np.ndarray, bounds: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of all whole windows, and the position of each one's seed, given what each position's seed would be."""
+    if len(seeds) < shape.offsets:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    seeds = run_hashes(symbols, shape.seed)
     low = np.uint64(POSITION_BITS)
     order = (mix(seeds) >> low << low) | np.arange(len(seeds), dtype=np.uint64)
     least = sliding_min(order, shape.offsets)
@@ -103,7 +106,8 @@ def extents(anchor: np.ndarray, block: np.ndarray, step: int, shape: Shape):
 def runs_of_block(symbols: np.ndarray, bounds: np.ndarray, shape: Shape) -> dict[str, np.ndarray]:
     """The runs of windows that share a seed and a block of offsets; positions count from the block's start."""
     step = shape.steps[0]
-    starts, anchor = seeds_of_windows(symbols, bounds, shape)
+    ladder = Ladder(symbols, shape.length - step + 1, shape.length + step - 1, shape.seed)
+    starts, anchor = seeds_of_windows(ladder.seeds, bounds, shape)
     block = (anchor - starts) // step
     new = np.ones(len(starts), bool)
     new[1:] = (np.diff(anchor) != 0) | (np.diff(block) != 0)
@@ -113,7 +117,6 @@ def runs_of_block(symbols: np.ndarray, bounds: np.ndarray, shape: Shape) -> dict
     anchor, block = anchor[at], block[at]
     _, _, a, b, c, d = extents(anchor, block, step, shape)
     c, d = np.maximum(c, bounds[:-1][text]), np.minimum(d, bounds[1:][text])
-    ladder = Ladder(symbols, shape.length - step + 1, shape.length + step - 1)
     where = pair((anchor - c).astype(np.uint64), block.astype(np.uint64))
     return {
         "text": text,
@@ -180,7 +183,7 @@ def _snippets(symbols_of: Symbols, shape: Shape):
 
 
 def parts_of(before: np.ndarray, block: np.ndarray, bounds: np.ndarray, parts: list[np.ndarray], step: int, shape: Shape):
-    """Rows (snippet, part, first and last offset that fit): the given parts of each snippet."""
+    """The given parts of each snippet that fit: snippet, part, first and last offset, anchor, place in the input."""
     which = np.repeat(np.arange(len(before)), [len(x) for x in parts])
     part = np.concatenate(parts) if parts else np.zeros(0, np.int64)
     anchor = before[which] + bounds[:-1][which]
@@ -191,7 +194,7 @@ def parts_of(before: np.ndarray, block: np.ndarray, bounds: np.ndarray, parts: l
     first = np.maximum(first, anchor + shape.length - bounds[1:][which])
     last = np.minimum(last, anchor - bounds[:-1][which])
     fits = first <= last
-    return which[fits], part[fits], first[fits], last[fits], anchor[fits]
+    return which[fits], part[fits], first[fits], last[fits], anchor[fits], np.flatnonzero(fits)
 
 
 def _parts(width: int, expand: Callable[[np.ndarray], np.ndarray], level: int, shape: Shape):
@@ -204,20 +207,21 @@ def _parts(width: int, expand: Callable[[np.ndarray], np.ndarray], level: int, s
             bounds = block.bounds // width
             rows = block.rows
             before, outer = (np.asarray(rows.column(n)).astype(np.int64) for n in ("before", "block"))
-            wanted = rows.column("wanted")
-            todo = np.split(np.asarray(wanted.flatten()), np.asarray(wanted.offsets)[1:-1] - wanted.offsets[0].as_py())
+            wanted = pairs_by_row(rows.column("wanted"), "part", "size", "first")
             per = -(-coarser // step)
-            todo = [(x.astype(np.int64)[:, None] * coarser // step + np.arange(per)).ravel() for x in todo]
-            which, part, first, last, anchor = parts_of(before, outer, bounds, todo, step, shape)
+            todo = [(x[:, :1] * coarser // step + np.arange(per)).ravel() for x in wanted]
+            which, part, first, last, anchor, entry = parts_of(before, outer, bounds, todo, step, shape)
             if not len(which):
                 continue
+            own = np.concatenate(wanted)[entry // per]
             _, _, a, b, c, d = extents(anchor, part, step, shape)
             c, d = np.maximum(c, bounds[:-1][which]), np.minimum(d, bounds[1:][which])
             ladder = Ladder(symbols, shape.length - step + 1, shape.length + step - 1)
             core = ladder.ids(a, b)
             span = pair(ladder.ids(c, d), (anchor - c).astype(np.uint64))
             take = pa.array(which)
-            parent = [rows.column(n).take(take) for n in ("core0", "span0", "size", "first")]
+            parent = [rows.column(n).take(take) for n in ("core0", "span0")]
+            parent += [pa.array(own[:, 1]), pa.array(own[:, 2])]
             yield pa.RecordBatch.from_arrays(
                 parent
                 + [
@@ -291,29 +295,37 @@ def repeated_windows(
     wanted = staging.write(wanted.groupBy("doc", "key").agg(F.collect_list("w").alias("wanted")), "wanted")
     texts = texts_of(docs, wanted, 48 + 48 * F.size("wanted"), staging).select("text", "wanted")
     snippets = staging.write(texts.mapInArrow(_snippets(symbols_of, shape), SNIPPETS), "snippets")
-    todo = snippets.withColumn("wanted", F.array("block"))
+    whole = F.array(F.struct(F.col("block").alias("part"), "size", "first"))
+    todo = snippets.withColumn("wanted", whole).drop("size", "first")
+    part = ["core0", "span0", "part"]
     answers = None
     for level in range(1, len(shape.steps)):
-        rows = todo.mapInArrow(_parts(width, expand, level, shape), PARTS)
-        rows = staging.write(rows, f"parts{level}")
-        groups = rows.groupBy("parent", "core", "span").agg(F.sum("size").alias("n"), F.min("first").alias("f"))
+        rows = staging.write(todo.mapInArrow(_parts(width, expand, level, shape), PARTS), f"parts{level}")
+        groups = rows.groupBy("parent", "core", "span").agg(
+            F.sum("size").alias("n"), F.min("first").alias("f"), F.min(F.struct(*part)).alias("rep")
+        )
         groups = staging.write(groups, "groups")
-        judged = rows.join(groups, ["parent", "core", "span"])
+        judged = rows.join(groups.select("parent", "core", "span", "n", "f"), ["parent", "core", "span"])
         yes = judged.where(found(F.col("n"), F.col("f"), F.col("first")))
-        yes = yes.select("core0", "span0", "low", "high")
+        yes = staging.write(yes.select("core0", "span0", "low", "high"), "yes")
         answers = yes if answers is None else answers.unionByName(yes)
         if level + 1 < len(shape.steps):
             open_cores = groups.groupBy("parent", "core").agg(F.count("*").alias("c"))
             open_cores = staging.write(open_cores.where("c > 1").select("parent", "core"), "open")
-            left = rows.join(open_cores, ["parent", "core"], "left_semi")
-            left = left.groupBy("core0", "span0").agg(F.collect_list("part").alias("wanted"))
-            todo = snippets.join(left, ["core0", "span0"])
+            if earlier:
+                left = rows.select("parent", "core", "size", "first", *part)
+            else:  # a group of several is settled, and one of it stands for all
+                left = groups.select("parent", "core", F.col("n").alias("size"), F.col("f").alias("first"), "rep.*")
+            left = left.join(open_cores, ["parent", "core"], "left_semi")
+            left = left.groupBy("core0", "span0").agg(F.collect_list(F.struct("part", "size", "first")).alias("wanted"))
+            todo = snippets.drop("size", "first").join(staging.write(left, "left"), ["core0", "span0"])
+        staging.drop(rows, groups)
     if answers is not None:
-        members = seen.join(
-            classes_of_mixed.select("core", "span", "first", "size"), ["core", "span"]
-        ).where(~found(F.col("size"), F.col("first"), F.col("doc")))
+        # a class's windows are left open only where they begin in its first document
         answers = answers.withColumnsRenamed({"core0": "core", "span0": "span", "low": "o1", "high": "o2"})
-        answers = members.join(answers, ["core", "span"])
+        open_classes = classes_of_mixed.where(F.lit(earlier) | (F.col("size") == 1))
+        answers = answers.join(open_classes.select("core", "span", F.col("first").alias("doc")), ["core", "span"])
+        answers = seen.join(staging.write(answers, "answers"), ["core", "span", "doc"])
         results.append(
             answers.select(
                 "doc", "key", (F.col("anchor") - F.col("o2")).alias("low"), (F.col("anchor") - F.col("o1")).alias("high")

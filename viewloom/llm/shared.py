@@ -2,37 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viewloom.staging import new_folder, remove
+
 #: A side of a join is broadcast up to this many estimated bytes; beyond it both sides are shuffled.
 BROADCAST_BYTES = 32 << 20
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder ``spark.checkpoint.dir`` names; a local session without it gets one of its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.conf.get("spark.master", "").startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors and the driver share")
-        folder = tempfile.mkdtemp(prefix="staged-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        _file_system(spark, folder)[0].deleteOnExit(_path(spark, folder))
-    return folder.rstrip("/")
-
-
-def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
-
-
-def _file_system(spark: SparkSession, path: str):
-    where = _path(spark, path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
 class Staging:
     """Tables of one operator call, written to the shared folder and read back.
 
@@ -42,10 +22,7 @@ class Staging:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-        files, where = _file_system(spark, self.root)
-        files.mkdirs(where)
-        files.deleteOnExit(where)
+        self.root = new_folder(spark, name)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
@@ -56,8 +33,7 @@ class Staging:
 
     def drop(self, *tables: DataFrame) -> None:
         for table in tables:
-            files, where = _file_system(self.spark, table.staged_path)
-            files.delete(where, True)
+            remove(self.spark, table.staged_path)
 
 
 def sized(df: DataFrame, row_bytes: Column | int, limit: int = BROADCAST_BYTES) -> DataFrame:

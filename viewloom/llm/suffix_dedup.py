@@ -9,7 +9,7 @@ is the group of equal identifiers in one shuffle, in place of one sort of all su
 Only sampled suffixes enter: one q-gram for each window of ``length`` bytes (the one with the smallest
 hash), so equal strings are sampled at equal offsets. A bucket of one suffix is settled. A bucket whose
 suffixes agree over all windows they stand for is settled. The others are refined, down to single
-windows (steps 128, 16, 1). Nothing compares pairs, and a bucket of any size is one aggregate.
+windows (128, 32, 8 and 1 offsets at a time). Nothing compares pairs, and a bucket of any size is one aggregate.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary,
 def shape_for(length: int) -> Shape:
     if length < 2:
         raise ValueError("a string has two bytes at least")
-    steps = [s for s in (128, 16, 1) if s * 3 <= length or s == 1]
+    steps = [s for s in (128, 32, 8, 1) if s * 3 <= length or s == 1]
     return Shape(length, min(Q_GRAM, length), tuple(steps))
 
 

@@ -17,6 +17,7 @@ BLOCK_BYTES = 1 << 19
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
+_SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
 _ODD = 0xD6E8FEB86659FD93
 _ODD_INVERSE = pow(_ODD, -1, 1 << 64)
 
@@ -35,7 +36,9 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """A mix of two identifiers that depends on their order."""
-    return mix(a * _GOLDEN + mix(b + _GOLDEN))
+    x = a * _GOLDEN + b * _SECOND
+    x = (x ^ (x >> np.uint64(32))) * _MIX1
+    return x ^ (x >> np.uint64(29))
 
 
 @dataclass
