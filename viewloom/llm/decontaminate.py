@@ -136,6 +136,19 @@ def proximity_matches(index: Index, rarest: int = 3, within: int = 20) -> DataFr
     return spans.groupBy(*ROW, "item_id").agg(F.min(F.col("high") - F.col("low") + 1).alias("span"))
 
 
+def _judged(docs: DataFrame, benchmark: DataFrame, window: int, one_in: int) -> DataFrame:
+    """``doc``, ``key``, n_words, n_hit, ``ids`` (null if none) and contaminated, for each row of ``docs``."""
+    index = build_index(docs, benchmark, Staging(docs.sparkSession, "decontaminate"))
+    matches = index.staging.write(phrase_matches(index, window), "matches")
+    hit = matches.select(*ROW, F.explode(F.sequence("low", "high")).alias("pos")).distinct()
+    hit = hit.groupBy(*ROW).agg(F.count("*").alias("n_hit"))
+    ids = F.sort_array(F.collect_set(F.coalesce("item_id", F.lit(""))))
+    hit = index.staging.write(hit.join(matches.groupBy(*ROW).agg(ids.alias("ids")), ROW), "hit")
+    n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
+    out = index.ends.join(sized(hit, 256), ROW, "left").withColumn("n_hit", n_hit)
+    return out.withColumn("contaminated", (F.col("n_hit") > 0) & (one_in * F.col("n_hit") >= F.col("n_words")))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, one_in: int = 20) -> DataFrame:
     """For each row: doc_id, n_words, n_hit, n_items, items_sha256 and contaminated.
 
@@ -148,21 +161,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, one_i
     and repeated ids are allowed on both sides; a null item_id counts as one id and is written as
     nothing. Without items, or in an empty table, nothing is hit.
     """
-    docs = keyed(docs, "doc_id", "text")
-    index = build_index(docs, benchmark, Staging(docs.sparkSession, "decontaminate"))
-    matches = index.staging.write(phrase_matches(index, window), "matches")
-    hit = matches.select(*ROW, F.explode(F.sequence("low", "high")).alias("pos")).distinct()
-    hit = hit.groupBy(*ROW).agg(F.count("*").alias("n_hit"))
-    ids = F.sort_array(F.collect_set(F.coalesce("item_id", F.lit(""))))
-    hit = index.staging.write(hit.join(matches.groupBy(*ROW).agg(ids.alias("ids")), ROW), "hit")
-    out = index.ends.join(sized(hit, 256), ROW, "left")
-    n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return out.select(
+    judged = _judged(keyed(docs, "doc_id", "text"), benchmark, window, one_in)
+    return judged.select(
         F.nullif("doc", F.lit((1 << 63) - 1)).alias("doc_id"),
         "n_words",
-        n_hit.alias("n_hit"),
+        "n_hit",
         F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids")).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.concat_ws(",", "ids"), F.lit("")), 256).alias("items_sha256"),
-        ((n_hit > 0) & (one_in * n_hit >= F.col("n_words"))).alias("contaminated"),
+        "contaminated",
     )
 
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = 13, one_in: int = 20) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, all columns as they are."""
+    judged = _judged(keyed(docs, "doc_id", "text"), benchmark, window, one_in)
+    staging = Staging(docs.sparkSession, "clean")
+    bad = staging.write(judged.where("contaminated").select(*ROW).distinct(), "bad")
+    bad = sized(bad.select(F.col("doc").alias("bad_doc"), F.col("key").alias("bad_key")), 48)
+    own = [F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)), F.xxhash64("doc_id", "text")]
+    return docs.join(bad, (own[0] == F.col("bad_doc")) & (own[1] == F.col("bad_key")), "left_anti")
