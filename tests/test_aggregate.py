@@ -1,10 +1,9 @@
-from dataclasses import replace
-
 import pytest
+from pyspark.sql import functions as F
 
 from viewloom import Limits, aggregate_terms, aggregate_time
 from viewloom import schemas as S
-from viewloom.operators.aggregate import attach_structure
+from viewloom.operators.aggregate import matched_facts, partial_values
 
 FILTERED = (
     "component string, output string, absolute_time_index long, block_time_index long, scenario_index long, "
@@ -80,28 +79,34 @@ def test_time(spark):
         aggregate_time(granular, "avg")
 
 
-def test_fact_table_is_not_shuffled_by_the_join(spark, two_bus):
+def test_facts_are_read_once_and_not_shuffled_by_the_join(spark, two_bus):
     from tests.plans import formatted
     from viewloom import filter_by_calendar
 
-    links = spark.createDataFrame([("generator_A1", "p", 1, False, 1)], "component string, output string, group_id long, is_avg boolean, copies long")
-    plan = formatted(attach_structure(filter_by_calendar(two_bus.simulation, two_bus.calendar), links))
-    tree = plan.split("\n\n")[0]
-    assert "BroadcastHashJoin Inner" in tree and "BroadcastHashJoin LeftSemi" in tree
-    # Only key columns are read to find structure rows without facts.
-    schemas = sorted(line for line in plan.splitlines() if line.startswith("ReadSchema"))
-    assert any("value" not in line and "scenario_index" not in line for line in schemas)
+    links = spark.createDataFrame([(0, "generator_A1", "p", 1, False, 1)], "_link long, component string, output string, group_id long, is_avg boolean, copies long")
+    matched = matched_facts(filter_by_calendar(two_bus.simulation, two_bus.calendar), links)
+    plan = formatted(partial_values(matched, ["group_id"], {"scenario": F.col("scenario"), "view_date": F.col("granular_date")}))
+    tree = plan.split("(1) ")[0]
+    assert tree.count("Scan parquet") == 1 and tree.count("Exchange hashpartitioning") <= 1
+    assert "BroadcastHashJoin Inner" in tree and "Expand" in tree
+    schemas = [line for line in plan.splitlines() if line.startswith("ReadSchema")]
     assert not any("basis_status" in line or "block_time_index" in line for line in schemas)
 
 
-def test_view_needs_one_shuffle_of_fact_rows(spark, two_bus, two_bus_dir):
+@pytest.mark.parametrize("one_plan", [True, False])
+def test_outputs_reach_the_scan(spark, two_bus, two_bus_dir, monkeypatch, one_plan):
     from tests.plans import formatted
-    from viewloom import build_view, read_calendar
-
-    calendar = read_calendar(spark, str(two_bus_dir / "calendar_file.csv"))
-    plan = formatted(build_view(replace(two_bus, calendar=calendar)))
-    assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
-    wide = [line for line in plan.splitlines() if line.startswith("Arguments: hashpartitioning(group_id") and "granular_date" in line]
-    assert len(wide) == 1
-    assert "In(output, [" in plan  # the metrics' outputs reach the scan
-    assert plan.split("(1) ")[0].count("Scan csv") == 1  # finding absent series needs no calendar of one block
+    from viewloom import build_view, filter_by_calendar, study_structure
+    from viewloom.operators import aggregate
+
+    plans = []
+    plain = aggregate.partial_values
+    monkeypatch.setattr(aggregate, "partial_values", lambda *a: plans.append(formatted(plain(*a))) or plain(*a))
+    if one_plan:
+        build_view(two_bus)
+    else:
+        aggregate_terms(filter_by_calendar(two_bus.simulation, two_bus.calendar), study_structure(two_bus))
+    assert len(plans) == 1
+    assert "Python" not in plans[0] and "Cartesian" not in plans[0] and "NestedLoop" not in plans[0]
+    assert "GreaterThanOrEqual(output,active_load)" in plans[0] and "LessThanOrEqual(output,p1_port.flow)" in plans[0]
+    assert ("In(output, [" in plans[0]) == one_plan

@@ -1,6 +1,6 @@
 """Column expressions shared by the operators. All of them stay JVM-side."""
 
-from viewloom.functions.aggregates import pick_terms_value, zero_sum
+from viewloom.functions.aggregates import terms_value, zero_sum
 from viewloom.functions.text import (
     is_wellformed_reference,
     join_peers,
@@ -17,7 +17,7 @@ __all__ = [
     "join_peers",
     "or_empty",
     "parse_ports",
-    "pick_terms_value",
+    "terms_value",
     "qualified_model",
     "reference_catalog",
     "reference_metric",

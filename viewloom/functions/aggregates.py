@@ -13,12 +13,10 @@ def zero_sum(value: Column) -> Column:
     return F.coalesce(F.sum(value), F.lit(0.0))
 
 
-def pick_terms_value(value: Column, copies: Column, is_avg: Column) -> Column:
-    """Sum or plain mean of ``value``, each row counting ``copies`` times.
+def terms_value(total: Column, counted: Column, is_avg: Column) -> Column:
+    """Sum or plain mean from the sum of the values and the number of those that are not null.
 
-    ``is_avg`` has to be a grouping column. Both operators come out of the same two
-    partial sums, so a batch of mixed metrics still needs a single aggregation.
+    ``is_avg`` has to be a grouping column. Both operators come out of the same two partial
+    sums, so a batch of mixed metrics needs a single aggregation.
     """
-    total = F.sum(value * copies)
-    counted = F.sum(F.when(value.isNotNull(), copies))
     return F.when(is_avg, total / counted).otherwise(F.coalesce(total, F.lit(0.0)))

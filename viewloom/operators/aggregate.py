@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewloom.functions import pick_terms_value, zero_sum
-from viewloom.operators.joins import DEFAULT_LIMITS, Limits, fits, key_counts, split_join
+from viewloom.functions import terms_value, zero_sum
+from viewloom.operators.joins import DEFAULT_LIMITS, Limits, fits, key_counts, lookup_join, split_join
 from viewloom.schemas import GRANULAR_COLUMNS, VIEW_COLUMNS
 from viewloom.staging import stage
 
@@ -20,40 +20,69 @@ SERIES = ["component", "output"]
 METRIC_GROUP = ["catalog_key", "metric_id", "metric_location", "breakdown_properties"]
 
 
-def attach_structure(
+def matched_facts(
     filtered: DataFrame, links: DataFrame, limits: Limits = DEFAULT_LIMITS, small: bool | None = None
 ) -> DataFrame:
-    """Right outer join of the filtered table with structure rows on (component, output).
+    """Rows of the filtered table with the structure rows of their (component, output).
 
-    Spark cannot broadcast the preserved side of an outer join, and shuffling the fact
-    table for it would dwarf everything else. So: inner join with the structure
-    broadcast, then the structure rows without any fact row, with null time, scenario,
-    date and value. Finding those reads only the key columns of the fact table.
-    Structures beyond the broadcast budget take the split shuffle join.
+    The structure is broadcast within the budget, so that facts stay where they are; beyond it
+    the join is shuffled and split.
     """
     facts = filtered.select(
         *SERIES, "absolute_time_index", F.col("scenario_index").alias("scenario"), "granular_date", "value"
     )
-    if small is None:
-        small = fits(links, limits)
-    if small:
-        matched = facts.join(F.broadcast(links), SERIES, "inner")
-        wanted = links.select(*SERIES).distinct()
-        present = filtered.select(*SERIES).join(F.broadcast(wanted), SERIES, "left_semi").distinct()
-    else:
-        present = key_counts(filtered, SERIES)
-        matched = split_join(facts, links, SERIES, present, limits)
-    missing = links.join(present, SERIES, "left_anti")
-    return matched.unionByName(missing, allowMissingColumns=True)
-
-
-def terms_values(joined: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Sum or mean per group, time index and scenario."""
-    date = F.max("granular_date").alias("granular_date")  # one date per time index
-    value = pick_terms_value(F.col("value"), F.col("copies"), F.col("is_avg"))
-    return joined.groupBy(*keys, "is_avg", "absolute_time_index", "scenario").agg(
-        value.alias("granular_metric_value"), date
+    if fits(links, limits) if small is None else small:
+        return facts.join(F.broadcast(links), SERIES, "inner")
+    return split_join(facts, links, SERIES, key_counts(filtered, SERIES), limits)
+
+
+def partial_values(matched: DataFrame, keys: Sequence[str], grain: dict[str, Column]) -> DataFrame:
+    """Partial sums by ``keys`` and ``grain`` (``_link`` null), and one row for each structure row that
+    has facts (``_link`` given), in one pass over the facts."""
+    sums = {
+        "_total": F.sum(F.col("value") * F.col("copies")),
+        "_counted": F.sum(F.when(F.col("value").isNotNull(), F.col("copies"))),
+        "_date": F.max("granular_date"),  # one date per time index
+    }
+    rows = matched.withColumns({f"_{name}": column for name, column in grain.items()})
+    groups = [*keys, "is_avg", *(f"_{name}" for name in grain)]
+    return rows.groupingSets(
+        [[F.col(c) for c in groups], [F.col("_link")]], *[F.col(c) for c in groups], F.col("_link")
+    ).agg(*[column.alias(name) for name, column in sums.items()], F.grouping("_link").alias("_group"))
+
+
+def grouped_values(
+    filtered: DataFrame,
+    links: DataFrame,
+    keys: Sequence[str],
+    grain: dict[str, Column],
+    limits: Limits = DEFAULT_LIMITS,
+    small: bool | None = None,
+) -> DataFrame:
+    """``keys``, ``is_avg``, ``grain``, ``value`` (sum or mean) and ``granular_date``: the right outer join of
+    the facts with staged structure rows (``_link`` names each), aggregated.
+
+    Spark cannot broadcast the preserved side of an outer join, and a second read of the facts
+    would be needed to find structure rows without any. So the one pass over them also returns which
+    structure rows it met; its result, already aggregated, is staged, and the others are added
+    with null grain.
+    """
+    partial = stage(partial_values(matched_facts(filtered, links, limits, small), keys, grain), "partial")
+    met = partial.filter("_group = 0").select("_link")
+    nulls = {name: F.lit(None).cast(partial.schema[f"_{name}"].dataType) for name in (*grain, "total", "counted", "date")}
+    missing = links.join(met, "_link", "left_anti").select(
+        *keys, "is_avg", *[column.alias(f"_{name}") for name, column in nulls.items()]
     )
+    rows = partial.filter("_group = 1").select(*missing.columns).unionByName(missing)
+    groups = [*keys, "is_avg", *(F.col(f"_{name}").alias(name) for name in grain)]
+    value = terms_value(F.sum("_total"), F.sum("_counted"), F.col("is_avg"))
+    return rows.groupBy(*groups).agg(value.alias("value"), F.max("_date").alias("granular_date"))
+
+
+def terms_values(filtered: DataFrame, links: DataFrame, keys: Sequence[str], *limits) -> DataFrame:
+    """Sum or mean per group, time index and scenario."""
+    grain = {"absolute_time_index": F.col("absolute_time_index"), "scenario": F.col("scenario")}
+    return grouped_values(filtered, links, keys, grain, *limits).withColumnRenamed("value", "granular_metric_value")
 
 
 def time_values(granular: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -63,13 +92,12 @@ def time_values(granular: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def view_values(joined: DataFrame, keys: Sequence[str]) -> DataFrame:
+def view_values(filtered: DataFrame, links: DataFrame, keys: Sequence[str], *limits) -> DataFrame:
     """Terms and time aggregation in one, for when each date has at most one time index
     or all metrics are sums. The terms stage's grain is then the view's, or sums of sums."""
-    value = pick_terms_value(F.col("value"), F.col("copies"), F.col("is_avg"))
-    return joined.groupBy(*keys, "is_avg", "scenario", F.col("granular_date").alias("view_date")).agg(
-        F.coalesce(value, F.lit(0.0)).alias("metric_value")
-    )
+    grain = {"scenario": F.col("scenario"), "view_date": F.col("granular_date")}
+    values = grouped_values(filtered, links, keys, grain, *limits).drop("granular_date")
+    return values.withColumn("metric_value", F.coalesce("value", F.lit(0.0))).drop("value")
 
 
 def _as_links(structure: DataFrame) -> DataFrame:
@@ -82,16 +110,25 @@ def _as_links(structure: DataFrame) -> DataFrame:
 
 
 def aggregate_terms(filtered: DataFrame, structure: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    """Granular metric view of every metric in ``structure``.
+    """Granular metric view of every metric in ``structure``; the facts are read here.
 
     ``structure`` has the structure columns and ``terms_operator``; ``catalog_key`` and
     ``copies`` are used where present.
     """
     keys = [k for k in METRIC_GROUP if k in structure.columns]
     extra = [k for k in keys if k not in GRANULAR_COLUMNS]
-    links = stage(_as_links(structure), "links")  # used several times below
-    joined = attach_structure(filtered, links, limits)
-    return terms_values(joined, keys).select(*extra, *GRANULAR_COLUMNS)
+    outputs = structure.agg(F.min("output").alias("first"), F.max("output").alias("last")).first()
+    if outputs["first"] is not None:
+        filtered = filtered.filter(F.col("output").between(outputs["first"], outputs["last"]))
+    links = _as_links(structure).withColumn("_group_id", F.xxhash64(*keys))
+    links = stage(links.withColumn("_link", F.monotonically_increasing_id()), "links")
+    groups = links.select("_group_id", *keys).distinct()
+    if groups.groupBy("_group_id").count().where("count > 1").isEmpty():
+        values = terms_values(filtered, links.drop(*keys), ["_group_id"], limits)
+        values = lookup_join(values, groups, ["_group_id"], limits)
+    else:  # two groups share a fingerprint: their texts are the key
+        values = terms_values(filtered, links.drop("_group_id"), keys, limits)
+    return values.select(*extra, *GRANULAR_COLUMNS)
 
 
 def aggregate_time(granular: DataFrame, time_operator: str = "sum") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from viewloom.operators import checks
-from viewloom.operators.aggregate import METRIC_GROUP, attach_structure, terms_values, time_values, view_values
+from viewloom.operators.aggregate import METRIC_GROUP, terms_values, time_values, view_values
 from viewloom.operators.calendar import calendar_violations, filter_by_calendar, summarise_calendar
 from viewloom.operators.joins import DEFAULT_LIMITS, Limits, fits, row_bytes
 from viewloom.operators.references import judged_references, parse_references, resolve_references
@@ -87,8 +87,11 @@ def study_structure(study: Study, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
 
 
 def build_view(study: Study, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    """The view of all references. The fact table is read when the result is; the metadata work
-    (judging references, resolving, staging and measuring the structure) runs here.
+    """The view of all references.
+
+    What runs here: judging references, resolving, staging and measuring the structure, and the
+    one pass over the fact table, whose aggregated result is staged. The rest runs when the
+    view is read.
 
     The structure is staged, checked and measured. The fact table is then read with the
     calendar's index range and the metrics' outputs as scan predicates, and aggregated
@@ -109,7 +112,8 @@ def build_view(study: Study, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
         study.connections,
         limits,
     )
-    structure = stage(structure.withColumn("group_id", F.xxhash64(*METRIC_GROUP)), "structure")
+    structure = structure.withColumn("group_id", F.xxhash64(*METRIC_GROUP))
+    structure = stage(structure.withColumn("_link", F.monotonically_increasing_id()), "structure")
     measured = _measure(structure)
     if measured["problems"]:
         checks.assert_clean(checks.location_violations(structure))
@@ -129,12 +133,12 @@ def build_view(study: Study, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     few_groups = measured["group_bytes"] <= limits.broadcast_bytes or (by_fingerprint and fits(groups, limits))
     keys = ["group_id"] if by_fingerprint else labels
     is_avg = F.col("terms_operator") == "avg" if measured["means"] else F.lit(False)  # a literal leaves the key
-    links = structure.select("component", "output", *keys, is_avg.alias("is_avg"), "copies")
-    joined = attach_structure(filtered, links, limits, measured["link_bytes"] <= limits.broadcast_bytes)
+    links = structure.select("_link", "component", "output", *keys, is_avg.alias("is_avg"), "copies")
+    how = limits, measured["link_bytes"] <= limits.broadcast_bytes
     if summary.one_index_per_date or not measured["means"]:
-        view = view_values(joined, keys)
+        view = view_values(filtered, links, keys, *how)
     else:
-        view = time_values(terms_values(joined, keys), keys)
+        view = time_values(terms_values(filtered, links, keys, *how), keys)
     if by_fingerprint:
         view = view.join(F.broadcast(groups) if few_groups else groups.hint("merge"), "group_id")
     if (measured["mentions"] or 1) > 1:
