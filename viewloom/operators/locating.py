@@ -72,34 +72,22 @@ def locate(rows: DataFrame, keys: list[str], connections: DataFrame) -> DataFram
     a null location and says why. ``keys`` must include everything else to keep; each
     group regathers one row's ports, whose number the term's definition fixes.
     """
-    peers = port_peers(connections)
     ports = F.col("location_ports")
-    one_port = ports.isNull() | (F.size(ports) == 1)
-
-    # At most one port, the usual case: nothing to regather.
-    single = (
-        rows.filter(one_port)
-        .withColumn("port", F.try_element_at(ports, F.lit(1)))
-        .join(peers, ["component", "port"], "left")
-        .withColumn("location_problem", _asked_problem())
-        .withColumn(
-            "metric_location",
-            F.when(ports.isNull(), F.col("component")).when(F.col("location_problem").isNull(), F.col("peer")),
-        )
-    )
-
     peer = F.when(F.col("port").isNotNull() & ~F.coalesce("ambiguous", F.lit(True)), F.struct("_pos", "peer"))
-    several = (
-        rows.filter(~one_port)
-        .select("*", F.posexplode_outer(ports).alias("_pos", "port"))
-        .join(peers, ["component", "port"], "left")
+    located = (
+        rows.select("*", F.posexplode_outer(ports).alias("_pos", "port"))
+        .join(port_peers(connections), ["component", "port"], "left")
         .withColumn("_problem", _asked_problem())
         .groupBy(*keys, "location_ports")
         .agg(
             F.collect_list(peer).alias("_peers"),
             F.min_by("_problem", F.when(F.col("_problem").isNotNull(), F.col("_pos"))).alias("location_problem"),
         )
-        .withColumn("metric_location", F.when(F.col("location_problem").isNull(), join_peers(F.col("_peers"))))
     )
-    columns = [*keys, "location_ports", "location_problem", "metric_location"]
-    return single.select(*columns).unionByName(several.select(*columns))
+    found = F.when(F.col("location_problem").isNull(), join_peers(F.col("_peers")))
+    return located.select(
+        *keys,
+        "location_ports",
+        "location_problem",
+        F.when(ports.isNull(), F.col("component")).otherwise(found).alias("metric_location"),
+    )

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.functions import is_wellformed_reference, reference_catalog, reference_metric
-from viewloom.operators.joins import DEFAULT_LIMITS, Limits, lookup_join
 from viewloom.schemas import OPERATORS
 
 
@@ -21,7 +20,7 @@ def parse_references(references: DataFrame) -> DataFrame:
     )
 
 
-def metric_references(references: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+def metric_references(references: DataFrame) -> DataFrame:
     """Well-formed references as (catalog_pos, pos, catalog_key, metric_id).
 
     The view lists metrics by catalog, catalogs by first mention: order by
@@ -30,8 +29,7 @@ def metric_references(references: DataFrame, limits: Limits = DEFAULT_LIMITS) ->
     """
     parsed = parse_references(references)
     first_mention = parsed.groupBy("catalog_key").agg(F.min("pos").alias("catalog_pos"))
-    found = lookup_join(parsed, first_mention, ["catalog_key"], limits)
-    return found.select("catalog_pos", "pos", "catalog_key", "metric_id")
+    return parsed.join(first_mention, "catalog_key").select("catalog_pos", "pos", "catalog_key", "metric_id")
 
 
 def malformed_references(references: DataFrame) -> DataFrame:
@@ -50,9 +48,7 @@ def resolve_references(references: DataFrame, metrics: DataFrame) -> DataFrame:
     return references.join(metrics, ["catalog_key", "metric_id"], "inner")
 
 
-def judged_references(
-    references: DataFrame, catalogs: DataFrame, metrics: DataFrame, limits: Limits = DEFAULT_LIMITS
-) -> DataFrame:
+def judged_references(references: DataFrame, catalogs: DataFrame, metrics: DataFrame) -> DataFrame:
     """Every reference with its metric's operators and a ``problem``, null where it can be built.
 
     Distinct references are judged once: a catalog or metric that many references name is one row
@@ -80,7 +76,7 @@ def judged_references(
     malformed = malformed_references(references).select(
         "pos", "reference", *[F.lit(None).cast("string").alias(c) for c in columns[2:6]], F.lit("reference_format").alias("problem")
     )
-    return lookup_join(named, known, keys, limits).select(*columns).unionByName(malformed)
+    return named.join(known, keys).select(*columns).unionByName(malformed)
 
 
 def skipped_references(references: DataFrame, catalogs: DataFrame, metrics: DataFrame) -> DataFrame:

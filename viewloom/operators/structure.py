@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.functions import qualified_model
-from viewloom.operators.joins import DEFAULT_LIMITS, Limits, lookup_join
 from viewloom.operators.locating import locate
-from viewloom.staging import stage
 
 METRIC_KEYS = ["catalog_key", "metric_id"]
 
@@ -43,18 +41,19 @@ def instances_of_model(components: DataFrame, model_ref: str) -> DataFrame:
     return components_by_model(components).filter(F.col("model_ref") == model_ref).select("component")
 
 
-def model_terms(
-    metrics: DataFrame, terms: DataFrame, models: DataFrame, limits: Limits = DEFAULT_LIMITS
-) -> DataFrame:
-    """Terms of ``metrics`` with the qualified models of their category."""
+def model_terms(metrics: DataFrame, terms: DataFrame, models: DataFrame) -> DataFrame:
+    """Terms of ``metrics`` with the qualified models of their category.
+
+    Joins of metadata are left to adaptive execution: it knows the sizes when it gets there,
+    broadcasts what is small and splits partitions that a hot category or catalog makes large.
+    """
     categories = (
         categorised_models(models)
         .select("taxonomy_category", qualified_model(F.col("library_id"), F.col("model_id")).alias("model_ref"))
         .groupBy("taxonomy_category", "model_ref")
         .agg(F.count(F.lit(1)).alias("_models"))
     )
-    wanted = lookup_join(terms, metrics, METRIC_KEYS, limits)
-    return lookup_join(categories, wanted, ["taxonomy_category"], limits)
+    return terms.join(metrics, METRIC_KEYS).join(categories, "taxonomy_category")
 
 
 def metric_structure(
@@ -63,7 +62,6 @@ def metric_structure(
     models: DataFrame,
     components: DataFrame,
     connections: DataFrame,
-    limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Structure of all ``metrics`` (distinct catalog_key, metric_id) at once.
 
@@ -77,8 +75,7 @@ def metric_structure(
         .groupBy("component", "model_ref")
         .agg(F.count(F.lit(1)).alias("_instances"))
     )
-    wanted = stage(model_terms(metrics, terms, models, limits), "model_terms")
-    rows = lookup_join(instances, wanted, ["model_ref"], limits).withColumn(
+    rows = instances.join(model_terms(metrics, terms, models), "model_ref").withColumn(
         "_copies", F.col("_instances") * F.col("_models")
     )
     keys = [*metrics.columns, "term_ord", "model_ref", "component", "output_id", "_copies"]

@@ -59,7 +59,7 @@ def _usable_references(study: Study) -> DataFrame:
     """References that the view is built from. Raises for malformed ones, unknown catalogs and
     unsupported operators; logs how many name unknown metrics and skips them
     (``skipped_references`` returns all of these)."""
-    judged = judged_references(study.references, study.catalogs, study.metrics)
+    judged = stage(judged_references(study.references, study.catalogs, study.metrics), "references")
     first = F.min_by(F.struct("reference", "terms_operator", "time_operator"), "pos").alias("first")
     problems = judged.groupBy("problem").agg(F.count("*").alias("n"), F.min("pos").alias("pos"), first).collect()
     faults = [row for row in problems if row["problem"] in REFERENCE_ERRORS]
@@ -78,11 +78,11 @@ def selected_metrics(references: DataFrame) -> DataFrame:
     return references.groupBy(*METRIC_KEYS, "terms_operator").agg(F.count(F.lit(1)).alias("mentions"))
 
 
-def study_structure(study: Study, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+def study_structure(study: Study) -> DataFrame:
     """Structure of all metrics that the view references and a catalog defines."""
     resolved = resolve_references(parse_references(study.references), study.metrics)
     return metric_structure(
-        selected_metrics(resolved), study.terms, study.models, study.components, study.connections, limits
+        selected_metrics(resolved), study.terms, study.models, study.components, study.connections
     )
 
 
@@ -110,7 +110,6 @@ def build_view(study: Study, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
         study.models,
         study.components,
         study.connections,
-        limits,
     )
     structure = structure.withColumn("group_id", F.xxhash64(*METRIC_GROUP))
     structure = stage(structure.withColumn("_link", F.monotonically_increasing_id()), "structure")
