@@ -5,10 +5,14 @@ A document's set holds its distinct shingles of five words. Two small collection
 second, so ``2 * TUPLES * HASHES`` minhashes give ``TUPLES ** 2`` tables. With 10 tuples of 3, a pair of
 similarity 0.85 misses all tables with probability 0.00015; at 0.9 it is 0.000004.
 
-Equal sets are one node. In each table key, all nodes are compared with one leader first; a key whose
-nodes then lie in one component needs no more. Otherwise rounds of up to ``LEADERS`` leaders compare
-nodes across components, until no key holds two components with nodes that were not compared. A
-large group of near copies thus costs its size, not its square.
+Equal sets are one node. In each table key, all nodes are compared with one leader first, the node that
+shares most keys with others (of a text and its near copies, the text itself); a key whose nodes then
+lie in one component needs no more. For the others an exact bound comes first: only shingles that occur in
+another component too can be common with a node there; they are counted in ``PARTS`` parts by hash,
+and two nodes share at most the sum, over the parts, of the smaller of their counts. Copies with edits
+of their own fall out here. Rounds of up to ``LEADERS`` leaders compare what is left across components,
+a pair in the first of its common tables only, until no key holds two components with nodes that
+were not compared. A large group of near copies thus costs its size, not its square.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.llm.components import components
@@ -27,7 +31,8 @@ from viewloom.llm.text import ASCII_LOWER, blocks, column, mix, pair, run_hashes
 SHINGLE_WORDS = 5
 TUPLES = 10
 HASHES = 3
-LEADERS = 256
+LEADERS = 4096
+PARTS = 32
 SIGNATURE = "doc long, key long, n_shingles long, node long, check long, a array<long>, b array<long>"
 SETS = "node long, items array<long>"
 
@@ -99,52 +104,80 @@ class _Links:
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, percent: int, staging: Staging):
         self.docs, self.nodes, self.percent, self.staging = docs, nodes, percent, staging
-        self.compared = self.found = None
+        self.compared = None
 
-    def confirm(self, pairs: DataFrame) -> None:
-        """Compares ``pairs`` (``x`` < ``y``) that were not compared yet and keeps those similar enough."""
+    def candidates(self, some: DataFrame) -> DataFrame:
+        some = some.join(self.nodes.select("node", "n_shingles", "doc", "key"), "node")
+        return self.staging.write(some, "candidates")
+
+    def sets_of(self, some: DataFrame) -> DataFrame:
+        """``node``, ``items`` (its shingles) of candidates."""
+        texts = texts_of(self.docs, some.select("node", "doc", "key"), 64, self.staging).select("node", "text")
+        return self.staging.write(texts.mapInArrow(_sets, SETS), "sets")
+
+    def enough(self, common: Column, n_x: Column | str, n_y: Column | str) -> Column:
+        return 100 * common >= self.percent * (F.col(n_x) + F.col(n_y) - common)
+
+    def confirm(self, pairs: DataFrame) -> DataFrame:
+        """Compares ``pairs`` (``x`` < ``y``) that were not compared yet; returns those similar enough."""
         if self.compared is not None:
             pairs = pairs.join(self.compared, ["x", "y"], "left_anti")
-        for side in ("x", "y"):
-            sizes = self.nodes.select(F.col("node").alias(side), F.col("n_shingles").alias(f"n_{side}"))
-            pairs = pairs.join(sizes, side)
-        smaller, larger = F.least("n_x", "n_y"), F.greatest("n_x", "n_y")
-        pairs = self.staging.write(pairs.where(100 * smaller >= self.percent * larger), "pairs")
-        some = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-        some = self.staging.write(some.join(self.nodes, "node").select("node", "doc", "key"), "candidates")
-        texts = texts_of(self.docs, some, 64, self.staging).select("node", "text")
-        sets = self.staging.write(texts.mapInArrow(_sets, SETS), "sets")
+        pairs = self.staging.write(pairs, "pairs")
+        some = self.candidates(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct())
+        sets = self.sets_of(some)
         both = pairs
+        for side in ("x", "y"):
+            sizes = some.select(F.col("node").alias(side), F.col("n_shingles").alias(f"n_{side}"))
+            both = both.join(sized(sizes, 32), side)
+        both = both.where(self.enough(F.least("n_x", "n_y"), "n_x", "n_y"))
         for side in ("x", "y"):
             both = both.join(sets.select(F.col("node").alias(side), F.col("items").alias(f"items_{side}")), side)
         common = F.size(F.array_intersect("items_x", "items_y"))
         both = both.select("x", "y", "n_x", "n_y", common.alias("common"))
-        linked = both.where(100 * F.col("common") >= self.percent * (F.col("n_x") + F.col("n_y") - F.col("common")))
-        linked = self.staging.write(linked.select("x", "y"), "linked")
-        pairs = pairs.select("x", "y")
+        linked = self.staging.write(both.where(self.enough(F.col("common"), "n_x", "n_y")).select("x", "y"), "linked")
         self.compared = pairs if self.compared is None else self.compared.unionByName(pairs)
-        self.found = linked if self.found is None else self.found.unionByName(linked)
         self.staging.drop(sets)
+        return linked
 
+    def reach(self, nodes: DataFrame, items: DataFrame) -> DataFrame:
+        """``node``, ``n`` (its shingles), ``c`` (those that ``items`` has in another component too), ``c0`` ... (these
+        by part) and ``ta0`` ... (its tuples).
 
-def _ordered(a: str, b: str) -> list:
-    return [F.least(a, b).alias("x"), F.greatest(a, b).alias("y")]
+        ``nodes`` has ``node`` and ``root``. Nodes that cannot be similar enough to any node of another
+        component are left out: their shingles number n, the common ones are those counted at most, and
+        no union is smaller than n.
+        """
+        rows = self.staging.write(items.join(nodes, "node"), "rooted")
+        shared = rows.groupBy("item").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        shared = self.staging.write(shared.where("low < high").select("item"), "shared")
+        part = F.pmod(F.xxhash64("item"), F.lit(PARTS))
+        counted = [F.count_if(F.col("part") == i).alias(f"c{i}") for i in range(PARTS)]
+        counts = rows.join(shared, "item", "left_semi").withColumn("part", part).groupBy("node").agg(*counted)
+        tuples = [F.col(x)[i].alias(f"t{x}{i}") for x in "ab" for i in range(TUPLES)]
+        counts = counts.join(self.nodes.select("node", F.col("n_shingles").alias("n"), *tuples), "node")
+        counts = counts.withColumn("c", sum(_counts()))
+        return self.staging.write(counts.where(100 * F.col("c") >= self.percent * F.col("n")), "able")
 
 
-def near_duplicate_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """For each row: doc_id, n_shingles, component_id (smallest id reachable over links) and kept.
+def _counts(prefix: str = "") -> list[Column]:
+    return [F.col(f"{prefix}c{i}") for i in range(PARTS)]
 
-    Texts are lower-cased (A-Z) and split into runs of characters other than space and ``\\t`` to
-    ``\\r``. Two documents are linked if ``100 * intersection >= percent * union`` of their shingle sets.
-    A document without words (or text) has an empty set and is linked with nothing.
 
-    One row per row of ``docs`` (doc_id, text; other columns are ignored). Rows with equal sets are
-    linked whatever their ids. A null id counts as larger than all others; a component of such rows
-    alone has a null component_id. ``kept`` says that doc_id is the component's, both null included.
-    An empty table gives an empty result. Sets are named by 64-bit hashes.
-    """
-    docs = keyed(docs, "doc_id", "text")
-    staging = Staging(docs.sparkSession, "near-dedup")
+def _first_table(prefix: str) -> Column:
+    """Whether the key's table (``i``, ``j``) is the first in which both nodes of a pair have equal tuples."""
+    earlier = F.lit(False)
+    for x, at in (("a", "i"), ("b", "j")):
+        for k in range(TUPLES):
+            earlier = earlier | ((F.col(at) > k) & (F.col(f"t{x}{k}") == F.col(f"{prefix}t{x}{k}")))
+    return ~earlier
+
+
+def _ordered(a: str, b: str) -> list:
+    return [F.least(a, b).alias("x"), F.greatest(a, b).alias("y")]
+
+
+def _grouped(docs: DataFrame, percent: int, staging: Staging) -> DataFrame:
+    """``doc``, ``key``, ``n_shingles`` and ``root`` (one for all rows of a group) of each row, staged."""
     signatures = staging.write(docs.mapInArrow(_signatures, SIGNATURE), "signatures")
     with_words = signatures.where("n_shingles > 0")
     nodes = with_words.groupBy("node", "check", "n_shingles").agg(F.min(F.struct("doc", "key", "a", "b")).alias("r"))
@@ -154,40 +187,88 @@ def near_duplicate_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
     shared = first.groupBy("i", "value").count().where("count > 1").select("i", "value")
     first = first.join(shared, ["i", "value"], "left_semi")
     tables = first.select("node", "i", "value", F.posexplode("b").alias("j", "other"))
-    tables = staging.write(tables.select("node", F.xxhash64("i", "j", "value", "other").alias("table_key")), "tables")
+    # a table's number is part of its key: the last byte
+    number = F.col("i") * TUPLES + F.col("j")
+    key = F.xxhash64("value", "other").bitwiseAND(F.lit(-256)) + number
+    tables = staging.write(tables.select("node", key.alias("table_key")), "tables")
 
     groups = tables.groupBy("table_key").agg(F.count("*").alias("n"), F.min("node").alias("x"), F.max("node").alias("y"))
     groups = staging.write(groups.where("n > 1"), "groups")
-    larger = groups.where("n > 2").select("table_key", F.col("x").alias("leader"))
+    larger = staging.write(groups.where("n > 2").select("table_key", "n"), "larger")
     rows = staging.write(tables.join(larger, "table_key"), "rows")
     staging.drop(tables)
+    weight = staging.write(rows.groupBy("node").agg(F.sum("n").alias("weight")), "weight")
+    rows = staging.write(rows.join(weight, "node").select("table_key", "node", "weight"), "rows")
+    leaders = rows.groupBy("table_key").agg(F.max(F.struct("weight", "node")).alias("leader"))
+    leaders = staging.write(leaders.select("table_key", F.col("leader.node").alias("leader")), "leaders")
+    rows = staging.write(rows.join(leaders, "table_key").where("node != leader").select("table_key", "node", "leader"), "rows")
     links = _Links(docs, nodes, percent, staging)
-    star = rows.where("node != leader").select(*_ordered("leader", "node"))
-    links.confirm(groups.where("n = 2").select("x", "y").unionByName(star).distinct())
-    labels = components(links.found, staging)
+    star = rows.select(*_ordered("leader", "node"))
+    linked = links.confirm(groups.where("n = 2").select("x", "y").unionByName(star).distinct())
+    labels = components(linked, staging)
 
-    rows, turn = rows.where("node != leader").select("table_key", "node"), 0
-    while True:
-        at = rows.join(labels, "node", "left").select("table_key", "node", F.coalesce("root", "node").alias("root"))
+    def open_rows(rows: DataFrame) -> DataFrame:
+        """The rows, with ``root``, of table keys that hold two components, and ``size``, the key's rows."""
+        at = rows.drop("root", "size").join(labels, "node", "left")
+        at = staging.write(at.withColumn("root", F.coalesce("root", "node")), "at")
         sizes = at.groupBy("table_key").agg(
-            F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")
+            F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")
         )
-        sizes = sizes.where("low < high").select("table_key", "n")
-        turn += 1
-        chance = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-        rows = at.join(sizes, "table_key").withColumn("leads", chance * F.col("n") < LEADERS)
-        rows = staging.write(rows, "rows")
+        sizes = staging.write(sizes.where("low < high").select("table_key", "size"), "open")
+        return staging.write(at.join(sizes, "table_key"), "rows")
+
+    rows, turn, items = rows.select("table_key", "node"), 0, None
+    while True:
+        rows, turn = open_rows(rows), turn + 1
+        if rows.isEmpty():
+            break
+        now = staging.write(rows.select("node", "root").distinct(), "now")
+        if items is None:
+            sets = links.sets_of(links.candidates(now.select("node")))
+            items = sets.select("node", F.explode("items").alias("item"))
+            items = staging.write(items, "items")
+        rows = rows.select("table_key", "node").join(links.reach(now, items), "node")
+        rows = open_rows(staging.write(rows, "able"))
         if rows.isEmpty():
             break
-        leaders = rows.where("leads").select("table_key", F.col("node").alias("leader"), F.col("root").alias("own"))
-        across = rows.join(leaders, "table_key").where(F.col("root") != F.col("own"))
-        links.confirm(across.select(*_ordered("leader", "node")).distinct())
-        labels = components(links.found, staging)
+        chance = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 20)) / F.lit(float(1 << 20))
+        rows = staging.write(rows.withColumn("leads", chance * F.col("size") < LEADERS), "led")
+        leaders = rows.where("leads").drop("leads", "size")
+        leaders = leaders.select("table_key", *[F.col(x).alias(f"l_{x}") for x in leaders.columns if x != "table_key"])
+        common = sum(F.least(x, y) for x, y in zip(_counts(), _counts("l_")))
+        number = F.pmod("table_key", F.lit(256))
+        both = rows.withColumn("i", F.floor(number / TUPLES)).withColumn("j", F.pmod(number, F.lit(TUPLES)))
+        across = both.join(leaders, "table_key").where(
+            (F.col("root") != F.col("l_root"))
+            & (~F.col("leads") | (F.col("node") < F.col("l_node")))  # two leaders meet once
+            & links.enough(F.least("c", "l_c"), "n", "l_n")  # the cheap tests first
+            & _first_table("l_")
+            & links.enough(common, "n", "l_n")
+        )
+        labels = components(links.confirm(across.select(*_ordered("l_node", "node")).distinct()), staging, labels)
         rows = rows.where("not leads").select("table_key", "node")
 
     everything = signatures.select("doc", "key", "n_shingles", "node").join(labels, "node", "left")
-    everything = everything.withColumn("root", F.coalesce("root", "node"))
+    return staging.write(everything.withColumn("root", F.coalesce("root", "node")), "everything")
+
+
+def near_duplicate_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """For each row: doc_id, n_shingles, component_id (smallest id reachable over links) and kept.
+
+    Texts are lower-cased (A-Z) and split into runs of characters other than space and ``\\t`` to
+    ``\\r``. Two documents are linked if ``100 * intersection >= percent * union`` of their shingle sets.
+    A document without words (or text) has an empty set and is linked with nothing.
+
+    One row per row of ``docs`` (doc_id, text; other columns are ignored). Rows with equal sets are
+    linked whatever their ids. A null id counts as larger than all others; a component of such rows
+    alone has a null component_id. ``kept`` says that doc_id is the component's, both null included.
+    An empty table gives an empty result. Sets are named by 64-bit hashes.
+    """
+    docs = keyed(docs, "doc_id", "text")
+    staging = Staging(docs.sparkSession, "near-dedup")
+    everything = _grouped(docs, percent, staging)
     least = everything.where("n_shingles > 0").groupBy("root").agg(F.min("doc").alias("least"))
+    least = staging.write(least, "least")
     component = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc"))
     no_id = F.lit((1 << 63) - 1)
     return everything.join(least, "root", "left").select(
@@ -196,3 +277,18 @@ def near_duplicate_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
         F.nullif(component, no_id).alias("component_id"),
         (F.col("doc") == component).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """One row of each group, all columns as they are: the smallest id, of equal ids the smallest hash.
+
+    Rows without words stay, each on its own; rows that repeat id and text become one.
+    """
+    rows = docs.withColumnsRenamed({"doc": "its doc", "key": "its key"}) if {"doc", "key"} & set(docs.columns) else docs
+    own = keyed(rows, *rows.columns)
+    staging = Staging(docs.sparkSession, "one-of-each")
+    everything = _grouped(own.select("doc_id", "text", "doc", "key"), percent, staging)
+    first = everything.where("n_shingles > 0").groupBy("root").agg(F.min(F.struct("doc", "key")).alias("r"))
+    kept = first.select("r.doc", "r.key").unionByName(everything.where("n_shingles = 0").select("doc", "key").distinct())
+    found = texts_of(own, staging.write(kept, "kept"), 48, staging)
+    return found.select(*[F.col(f"`{r}`").alias(c) for r, c in zip(rows.columns, docs.columns)])

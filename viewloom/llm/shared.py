@@ -23,6 +23,7 @@ class Staging:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = new_folder(spark, name)
+        self.repeated = None
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
@@ -63,8 +64,12 @@ def texts_of(docs: DataFrame, wanted: DataFrame, row_bytes: Column | int, stagin
     Rows that repeat id and text give one row.
     """
     texts = docs.join(sized(wanted, row_bytes), ["doc", "key"])
-    repeated = staging.write(docs.groupBy("doc", "key").count().where("count > 1"), "repeated")
-    if repeated.isEmpty():
+    if staging.repeated is None:  # an operator call asks for texts of one documents table
+        repeated = docs.groupBy("doc", "key").count().where("count > 1")
+        staging.repeated = staging.write(repeated, "repeated")
+        staging.repeats = not staging.repeated.isEmpty()
+    repeated = staging.repeated
+    if not staging.repeats:
         return texts
     again = repeated.select("doc", "key")
     once = texts.join(again, ["doc", "key"], "left_semi").dropDuplicates(["doc", "key"])
