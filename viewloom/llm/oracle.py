@@ -81,4 +81,35 @@ ORACLE = {
             coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
     """,
+    # texts as hex digits, two a byte
+    "op8_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+        win AS (
+            SELECT doc_id, i, md5(x[2 * i + 1:2 * i + 800]) AS h
+            FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 399)) AS i FROM d WHERE length(x) >= 800)
+        ),
+        dup AS (SELECT h FROM win GROUP BY h HAVING count(*) > 1),
+        hit AS (
+            SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM win JOIN dup USING (h)
+        ),
+        run AS (
+            SELECT doc_id, i, sum(CASE WHEN p IS NULL OR i > p + 400 THEN 1 ELSE 0 END)
+                OVER (PARTITION BY doc_id ORDER BY i) AS r
+            FROM hit
+        ),
+        span AS (SELECT doc_id, r, min(i) AS a, max(i) + 400 AS b FROM run GROUP BY doc_id, r),
+        gap AS (
+            SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS f, a AS t FROM span
+            UNION ALL
+            SELECT doc_id, coalesce(max(b), 0), max(length(x) // 2) FROM d LEFT JOIN span USING (doc_id) GROUP BY doc_id
+        ),
+        kept AS (
+            SELECT doc_id, string_agg(x[2 * f + 1:2 * t], '' ORDER BY f) AS y
+            FROM gap JOIN d USING (doc_id) WHERE t > f GROUP BY doc_id
+        ),
+        n AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans FROM span GROUP BY doc_id)
+        SELECT d.doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+            CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(y, ''))) AS kept_sha256
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
 }
