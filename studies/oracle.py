@@ -194,6 +194,13 @@ _PART_DEFINITIONS = """
     UNION ALL SELECT *, 'B', 0, 'first' FROM part
     UNION ALL SELECT *, 'B', 1, p_name FROM part
     UNION ALL SELECT *, 'C', 0, 'new' FROM part WHERE p_size % 2 = 1)"""
+_SCOPES = """WITH scopes AS (
+  SELECT 'v' || o_orderkey AS id, o_orderstatus,
+    CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus WHEN o_orderkey % 6 <> 0 THEN 'last' END AS category,
+    CASE WHEN o_orderkey % 7 = 1 THEN 'early'
+      WHEN o_orderkey % 7 < 5 AND o_orderkey % 6 <> 0 THEN o_orderstatus END AS calendar,
+    CASE WHEN o_orderkey % 4 <> 0 THEN CASE WHEN o_orderkey % 11 = 0 THEN 'decade' ELSE 'day' END END AS grain
+  FROM orders)"""
 _CALENDAR_RULES = """, rules AS (
   SELECT 'calendar_index' AS rule, 'absolute_time_index' AS subject,
     'indexes are not 0 to N-1, each once' AS detail
@@ -293,6 +300,16 @@ SELECT 'missing_field', catalog_key || '.' || metric_id, 'terms' FROM metrics m
     "granular_round_trip": EVENTS
     + f"""SELECT catalog_key, metric_id, metric_location, '' AS breakdown_properties, absolute_time_index, scenario,
   round(granular_metric_value, {DIGITS}) AS granular_metric_value, granular_date FROM granular""",
+    "file_simulation": LINEITEM
+    + """SELECT block, component, output, absolute_time_index, block_time_index, scenario_index, value, basis_status
+FROM sim""",
+    "file_filtered": LINEITEM + _FILTERED,
+    "file_view": LINEITEM + _VIEW,
+    "view_scopes": f"{_SCOPES} SELECT id, category, calendar, grain, 'c' || o_orderstatus AS catalogs FROM scopes",
+    "view_scope_violations": f"""{_SCOPES}
+SELECT 'scope_category' AS rule, id AS subject, '' AS detail FROM scopes WHERE category IS NULL
+UNION ALL SELECT 'scope_calendar', id, '' FROM scopes WHERE calendar IS NULL
+UNION ALL SELECT 'time_grain', id, grain FROM scopes WHERE grain NOT IN ('hour', 'day', 'week', 'month', 'year')""",
     "view_append": EVENTS + f"SELECT * FROM ({_VIEW}) UNION ALL SELECT * FROM ({_VIEW})",
     "located_components": LINEITEM
     + """, peers AS (SELECT component, port, min(peer) AS peer, count(*) AS n FROM edges GROUP BY component, port),

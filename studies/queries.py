@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import viewloom as vl
 from studies import tables as t
+from studies.files import file_filtered, file_simulation, file_view
 from viewloom.operators import checks
 from viewloom.operators.calendar import constant_rows as rows_without_time
 from viewloom.operators.calendar import date_steps as steps_of
@@ -22,6 +23,7 @@ from viewloom.operators.references import skipped_references as find_skipped
 from viewloom.operators.structure import model_terms
 from viewloom.schemas import GRANULAR_COLUMNS, VIEW_COLUMNS
 from viewloom.sources import documents as docs
+from viewloom.sources.study import view_scalars, view_violations
 from viewloom.staging import new_folder
 
 DIGITS = 6  # engines add in different orders; results are compared to this many decimals
@@ -288,6 +290,16 @@ def view_references(spark, sf_dir):
     return docs.reference_table(t.view_documents(spark, sf_dir))
 
 
+def view_scopes(spark, sf_dir):
+    """The first category, calendar and grain that each view gives."""
+    scalars = view_scalars(t.scoped_view_documents(spark, sf_dir))
+    return scalars.withColumn("catalogs", F.concat_ws(",", "catalogs"))
+
+
+def view_scope_violations(spark, sf_dir):
+    return view_violations(t.scoped_view_documents(spark, sf_dir))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -334,5 +346,10 @@ QUERIES = {
         catalog_metrics,
         catalog_terms,
         view_references,
+        view_scopes,
+        view_scope_violations,
+        file_simulation,
+        file_filtered,
+        file_view,
     )
 }

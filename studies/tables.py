@@ -455,6 +455,30 @@ def catalog_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scoped_view_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views by order: scopes that give their values late, twice or not at all, known and unknown grains."""
+    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+
+    def scope(category: Column, calendar: Column) -> Column:
+        return F.struct(category.cast("string").alias("taxonomy-category"), calendar.cast("string").alias("calendar"))
+
+    none = F.lit(None)
+    return table(spark, sf_dir, "orders").select(
+        _named("v", "o_orderkey").alias("id"),
+        F.array(
+            scope(none, F.when(key % 3 == 0, "")),
+            scope(F.when(key % 5 != 0, status), F.when(key % 7 == 1, "early")),
+            scope(F.lit("last"), F.when(key % 7 < 5, status)),
+            scope(none, none),
+        ).alias("all"),
+        F.when(key % 4 != 0, F.array(F.struct(F.when(key % 11 == 0, "decade").otherwise("day").alias("time")))).alias(
+            "aggregation"
+        ),
+        F.array(F.struct(F.concat(F.lit("c"), status).alias("id"))).alias("catalog"),
+        (key % 6).alias("cut"),
+    ).select("id", F.expr("if(cut = 0, slice(all, 1, 2), all)").alias("scope"), "aggregation", "catalog")
+
+
 def view_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.col("o_orderstatus")
     first, second = F.concat(F.lit("c."), status), F.concat(_named("c", "o_custkey"), F.lit(".M"))

@@ -47,6 +47,22 @@ class Study:
     view: ViewConfig | None = None
 
 
+def view_scalars(document: DataFrame) -> DataFrame:
+    """(id, category, calendar, grain, catalogs) of view documents: the first that are given of each."""
+
+    def first_given(name: str):
+        given = F.filter("scope", lambda s: s[name].isNotNull() & (s[name] != ""))
+        return F.try_element_at(given, F.lit(1))[name]
+
+    return document.select(
+        "id",
+        first_given("taxonomy-category").alias("category"),
+        first_given("calendar").alias("calendar"),
+        F.try_element_at("aggregation", F.lit(1))["time"].alias("grain"),
+        F.transform("catalog", lambda c: c["id"]).alias("catalogs"),
+    )
+
+
 def view_violations(document: DataFrame) -> DataFrame:
     """(rule, subject, detail): a view that names no category or calendar, or an unknown grain."""
     given = lambda name: F.exists("scope", lambda s: s[name].isNotNull() & (s[name] != ""))
@@ -66,18 +82,8 @@ def view_violations(document: DataFrame) -> DataFrame:
 def read_view_config(document: DataFrame) -> ViewConfig:
     """Scalars of a view document: the first category, calendar and grain that are given."""
 
-    def first_given(name: str):
-        given = F.filter("scope", lambda s: s[name].isNotNull() & (s[name] != ""))
-        return F.try_element_at(given, F.lit(1))[name]
-
-    row = document.select(
-        "id",
-        first_given("taxonomy-category").alias("category"),
-        first_given("calendar").alias("calendar"),
-        F.try_element_at("aggregation", F.lit(1))["time"].alias("grain"),
-        F.transform("catalog", lambda c: c["id"]).alias("catalogs"),
-    ).first()
     assert_clean(view_violations(document))
+    row = view_scalars(document).first()
     return ViewConfig(row["id"], row["calendar"], row["category"], row["grain"], list(row["catalogs"] or []))
 
 
