@@ -150,7 +150,7 @@ def metric_structure(spark, sf_dir):
     """Structure of every reference of the lineitem study."""
     study = t.lineitem_study(spark, sf_dir)
     references = parse_references(study.references)
-    return vl.study_structure(study).join(F.broadcast(references), ["catalog_key", "metric_id"]).select(
+    return vl.study_structure(study).join(references, ["catalog_key", "metric_id"]).select(
         "pos",
         "metric_id",
         "component",
