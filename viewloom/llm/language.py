@@ -23,7 +23,7 @@ WIDTH = 4096
 MAX_ROWS = 2_000
 CLUSTERS = 4
 ROUNDS = 12
-TEXTS_A_BLOCK = 512
+TEXTS_A_BLOCK = 256
 UNKNOWN = "und"
 
 

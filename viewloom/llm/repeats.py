@@ -202,7 +202,7 @@ def _parts(width: int, expand: Callable[[np.ndarray], np.ndarray], level: int, s
     step, coarser = shape.steps[level], shape.steps[level - 1]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "data", 1 << 18):
+        for block in blocks(batches, "data"):
             symbols = expand(block.data)
             bounds = block.bounds // width
             rows = block.rows
