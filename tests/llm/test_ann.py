@@ -63,6 +63,19 @@ def test_copies_and_near_copies_are_exact(spark, monkeypatch):
     assert len(same) / len(want) >= 0.95
 
 
+def test_recall_holds_in_dense_and_in_spread_places(spark):
+    rng = np.random.default_rng(5)
+    centers = 4 * rng.normal(size=(3, 32))
+    x = np.concatenate([np.repeat(centers, 1500, axis=0) + 0.2 * rng.normal(size=(4500, 32)), rng.normal(size=(1500, 32))])
+    ids = np.arange(len(x))
+    df = spark.createDataFrame([(int(i), v.tolist(), 0) for i, v in zip(ids, x)], "vec_id long, embedding array<double>, label int")
+    got = lists(nearest(df, df.where("vec_id % 50 = 0"), 10))
+    want = brute(ids, x, ids[::50])
+    hits = {q: len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 10 for q in want}
+    assert np.mean([h for q, h in hits.items() if q < 4500]) >= 0.9
+    assert np.mean([h for q, h in hits.items() if q >= 4500]) >= 0.9
+
+
 def test_odd_vectors_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 1), (100, [2.0, 0.0], 1), (5, [1.0, 1.0], None), (5, [9.0, 9.0], 1), (None, [1.0, 0.0], 1)]

@@ -7,6 +7,10 @@ likelier a near vector lies there. Every row is in every table. The width ``w``
 are set on a bounded sample (``SAMPLE_ROWS`` rows), so that probing finds ``RECALL`` of the sample's own
 nearest neighbours.
 
+Vectors may lie denser in some places than in others, so every query is judged by what it found: for Gaussian
+directions, the chance that a vector at a given distance lies in none of the probed buckets is known.
+A query that may have missed more than ``RECALL`` allows is compared with all rows.
+
 Buckets are split into blocks of bounded size on both sides, and a block of rows meets a block of
 queries in one task, which returns each query's nearest of that block only. The lists of all tables
 are merged and ranked by exact distance.
@@ -15,6 +19,7 @@ are merged and ranked by exact distance.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -76,6 +81,26 @@ def perturbations(fraction: np.ndarray, most: int) -> list[tuple[float, np.ndarr
     return out
 
 
+def expected_recall(fractions: np.ndarray, probes: int, far: np.ndarray) -> float:
+    """Mean chance that vectors at distances ``far``, in widths, lie in a probed bucket of some table.
+
+    ``fractions`` is tables x hashes: where in its buckets the query lies. Offsets are uniform, so these say
+    nothing of the directions, and a vector at distance d is off by d times a standard normal number in each hash.
+    """
+    borders = np.arange(-STEPS, STEPS + 2)
+    spread = np.maximum(far, 1e-9)[:, None, None] * math.sqrt(2)
+    missed = np.ones(len(far))
+    for fraction in fractions:
+        below = 0.5 * (1 + _erf((borders - fraction[:, None]) / spread))
+        within = np.diff(below, axis=-1)  # distances x hashes x steps
+        shifts = np.array([shift for _, shift in perturbations(fraction, probes)]) + STEPS
+        missed *= 1 - np.prod([within[:, j, shifts[:, j]] for j in range(len(fraction))], axis=0).sum(axis=-1)
+    return float(1 - missed.mean())
+
+
+_erf = np.vectorize(math.erf, otypes=[float])
+
+
 def bucket_ids(cells: np.ndarray) -> np.ndarray:
     """One 64-bit number for each row of whole numbers: their low bits side by side."""
     bits = 64 // HASHES
@@ -165,6 +190,26 @@ def _probes(hashing: Hashing, dimension: int):
     return task
 
 
+def _doubtful(hashing: Hashing, dimension: int, k: int):
+    """Keeps the queries that found fewer than k, or too few for sure at the distances (``far``) found."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 1024):
+                rows = batch.slice(first, 1024)
+                places = hashing.places(_matrix(rows.column("v"), dimension))
+                fractions, keep = places - np.floor(places), []
+                for i, far in enumerate(rows.column("far").to_pylist()):
+                    keep.append(
+                        far is None
+                        or len(far) < k
+                        or expected_recall(fractions[i], hashing.probes, np.array(far) / hashing.width) < RECALL
+                    )
+                yield rows.select(["vec_id"]).filter(pa.array(keep, pa.bool_()))
+
+    return task
+
+
 def _nearest_of_block(k: int):
     def task(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
@@ -217,11 +262,19 @@ def _met_in_blocks(entries: DataFrame, probes: DataFrame, k: int, staging: Stagi
     return met.applyInPandas(_nearest_of_block(k), "query_id long, vec_id long, score double")
 
 
+def _best(found: DataFrame, k: int) -> DataFrame:
+    best = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    best = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return best.select("query_id", "rank", "vec_id", "score")
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """query_id, rank (from 1), vec_id and score: each query's ``k`` nearest vectors found, its own id left out.
 
     The score is the Euclidean distance in double precision; ties go to the smaller id. A query with
-    fewer than ``k`` found is compared with all rows, so it lacks some only if there are no more.
+    fewer than ``k`` found is compared with all rows, so it lacks some only if there are no more; so is a
+    query that probing is expected to leave below ``RECALL`` at the distances it found.
 
     ``vectors`` and ``queries`` have vec_id and embedding; other columns are ignored. Rows whose id is null,
     and vectors that are null, empty, zero or hold null or non-finite components take no part, nor do
@@ -253,17 +306,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     probes = asked.mapInArrow(_probes(hashing, dimension), filed)
     found = staging.write(_met_in_blocks(entries, probes, k, staging), "found")
 
-    counts = asked.select("vec_id").distinct().join(
-        found.select(F.col("query_id").alias("vec_id"), F.col("vec_id").alias("v")).distinct().groupBy("vec_id").count(),
-        "vec_id",
-        "left",
-    )
-    short = counts.where(F.coalesce("count", F.lit(0)) < k).select("vec_id")
+    reach = _best(found, k).groupBy(F.col("query_id").alias("vec_id")).agg(F.collect_list("score").alias("far"))
+    judged = asked.join(reach, "vec_id", "left").select("vec_id", "v", "far")
+    short = judged.mapInArrow(_doubtful(hashing, dimension, k), "vec_id long").distinct()
     short = staging.write(asked.join(short, "vec_id", "left_semi"), "short")
     if not short.isEmpty():
         whole = [F.col("vec_id").alias("id"), "v", F.lit(0).alias("table"), F.lit(0).cast("long").alias("bucket")]
         found = found.unionByName(_met_in_blocks(rows.select(*whole), short.select(*whole), k, staging))
-    best = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    best = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return best.select("query_id", "rank", "vec_id", "score")
+    return _best(found, k)
