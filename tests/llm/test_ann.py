@@ -76,6 +76,13 @@ def test_recall_holds_in_dense_and_in_spread_places(spark):
     assert np.mean([h for q, h in hits.items() if q >= 4500]) >= 0.9
 
 
+def test_repeated_ids_leave_room_for_others(spark):
+    rows = [(1, [1.0, 0.0], 0)] + [(2, [1.0, 0.01], 0)] * 12 + [(3, [1.0, 0.02 + 0.001 * i], 0) for i in range(12)]
+    rows += [(i, [1.0, 0.1 * i], 0) for i in range(4, 20)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert [i for i, _ in lists(nearest(df, df.where("vec_id = 1")))[1]] == list(range(2, 12))
+
+
 def test_odd_vectors_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 1), (100, [2.0, 0.0], 1), (5, [1.0, 1.0], None), (5, [9.0, 9.0], 1), (None, [1.0, 0.0], 1)]

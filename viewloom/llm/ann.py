@@ -12,7 +12,7 @@ directions, the chance that a vector at a given distance lies in none of the pro
 A query that may have missed more than ``RECALL`` allows is compared with all rows.
 
 Buckets are split into blocks of bounded size on both sides, and a block of rows meets a block of
-queries in one task, which returns each query's nearest of that block only. The lists of all tables
+queries in one task, which returns each query's nearest ids of that block only. The lists of all tables
 are merged and ranked by exact distance.
 """
 
@@ -210,6 +210,11 @@ def _doubtful(hashing: Hashing, dimension: int, k: int):
     return task
 
 
+def _firsts(ids: np.ndarray) -> np.ndarray:
+    """Where each run of equal ids begins."""
+    return np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+
+
 def _nearest_of_block(k: int):
     def task(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
@@ -219,6 +224,8 @@ def _nearest_of_block(k: int):
         ids, own = rows["id"].to_numpy(), queries["id"].to_numpy()
         x_norms = (x**2).sum(1)
         scale = np.finfo(np.float64).eps * 64 * x.shape[1]
+        order = np.argsort(ids, kind="stable")
+        x, x_norms, ids = x[order], x_norms[order], ids[order]
         out = []
         for i in range(len(q)):
             others = np.flatnonzero(ids != own[i])
@@ -226,11 +233,14 @@ def _nearest_of_block(k: int):
                 continue
             # a rough distance picks those that can be among the k nearest; they are measured exactly
             rough = x_norms[others] - 2 * (x[others] @ q[i])
-            if len(others) > k:
+            least = np.minimum.reduceat(rough, _firsts(ids[others]))  # of each id, whose rows stand together
+            if len(least) > k:
                 slack = scale * (x_norms.max() + q[i] @ q[i])
-                others = others[rough <= np.partition(rough, k - 1)[k - 1] + slack]
+                others = others[rough <= np.partition(least, k - 1)[k - 1] + slack]
             far = _distances(x[others], q[i])
-            best = np.lexsort((ids[others], far))[:k]
+            best = np.lexsort((far, ids[others]))
+            best = best[_firsts(ids[others][best])]  # the nearest row of each id
+            best = best[np.lexsort((ids[others][best], far[best]))[:k]]
             out.append(pd.DataFrame({"query_id": own[i], "vec_id": ids[others][best], "score": far[best]}))
         return pd.concat(out) if out else empty
 
@@ -245,7 +255,7 @@ def _met_in_blocks(entries: DataFrame, probes: DataFrame, k: int, staging: Stagi
     splits = sized(splits, 64)
     rows = entries.join(splits, KEYS).select(
         *KEYS,
-        F.pmod(F.xxhash64("id"), "parts").alias("part"),
+        F.pmod(F.xxhash64("id", "v"), "parts").alias("part"),
         F.explode(F.sequence(F.lit(0), F.col("asks") - 1)).alias("ask"),
         "id",
         "v",
@@ -290,7 +300,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         finite = F.forall("v", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) != float("inf")))
         return df.where(finite & F.exists("v", lambda e: e != 0))
 
-    rows = staging.write(usable(vectors), "rows")
+    rows = staging.write(usable(vectors).distinct(), "rows")
     widths = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
     schema = "query_id long, rank int, vec_id long, score double"
     if widths is None:
