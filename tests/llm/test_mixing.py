@@ -79,6 +79,25 @@ def test_rounding_leaves_less_than_a_small_document():
         assert abs((copies * sizes).sum() - rate * sizes.sum()) <= sizes[-4]
 
 
+def test_a_very_long_document_does_not_cost_the_target():
+    sizes = np.array([100_000] + [400] * 499)
+    assert abs((round_to_copies(sizes, 2.9, 3) * sizes).sum() - 2.9 * sizes.sum()) <= 400
+    sizes[0] = 1_000_000
+    assert abs((round_to_copies(sizes, 0.8, 3) * sizes).sum() / (0.8 * sizes.sum()) - 1) <= 0.05
+
+
+def test_parts_make_up_for_each_other(spark):
+    rows = [(i, "w " * 40, "a") for i in range(1500)] + [(2000, "w " * 100_000, "a")]
+    rows += [(3000 + i, "w " * 50, "b") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mix_sources(docs, weights=(1, 3)).collect()
+    assert len(got) == len(rows) and len({r.doc_id for r in got}) == len(rows)
+    for s in "ab":
+        mine = [r for r in got if r.source == s]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 200
+        assert all(0 <= r.copies <= 3 and r.taken == r.copies * r.size for r in mine)
+
+
 def test_mixed_documents_and_edge_cases(spark, rows):
     docs = spark.createDataFrame(rows, SCHEMA).drop("copies")
     total = mix_sources(docs).agg(F.sum("copies")).first()[0]

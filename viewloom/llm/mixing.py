@@ -6,8 +6,10 @@ document weighing its words) while each source's tokens meet its target are expo
 ``sum(size * exp(tilt)) - sum(target * tilt)``, whose Hessian is diagonal over sources, so Newton steps
 run for all sources at once on the sums of their sizes, wherever these lie. Rates are then rounded
 to copies: within bounded parts of a source, largest documents first, each takes as many copies as fit
-into the words owed so far (rate x words, less what was taken), so what is left over is about the
-size of one of the smallest documents of each part.
+into the words owed so far (rate x words, less what was taken), or one more if the smaller documents
+could not take what is left. What the parts of a source leave over or took too much, one number a part, is
+passed on to other parts, which are rounded again, so what remains is about the size of one of the
+smallest documents of these.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from viewloom.llm.shared import Staging, sized, texts_of
 NEWTON_STEPS = 64
 #: Documents of a source that are rounded together; a larger source has more parts.
 PART_ROWS = 500
+#: Share of a part's room that is used to take what other parts leave over, unless more is needed.
+PASSED_ON = 0.1
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -78,16 +82,51 @@ def source_targets(
 
 
 def round_to_copies(sizes: np.ndarray, rate: float, most: int) -> np.ndarray:
-    """Copies of each document, sizes descending, whose words follow ``rate`` times the words so far from below."""
-    copies, owed = np.zeros(len(sizes), np.int64), 0.0
+    """Copies of each document, sizes descending, whose words follow ``rate`` times the words so far.
+
+    They follow from below, but where the smaller documents could not take what is left over and can
+    balance, or balance better, one copy more.
+    """
+    copies, owed, smaller = np.zeros(len(sizes), np.int64), 0.0, int(sizes.sum())
     for i, size in enumerate(sizes.tolist()):
         owed += rate * size
+        smaller -= size
         if size:
-            copies[i] = min(most, max(0, int(owed / size)))
+            fewer = min(most, max(0, int(owed / size)))
+            unmet = owed - fewer * size - (most - rate) * smaller
+            excess = (fewer + 1) * size - owed - rate * smaller
+            copies[i] = fewer + (fewer < most and unmet > 0 and max(0.0, excess) < unmet)
             owed -= copies[i] * size
     return copies
 
 
+def _passed_on(rounded: DataFrame, staging: Staging, most: int) -> DataFrame:
+    """of, of_part, largest, again: the parts that take what all parts left over.
+
+    Their documents of ``largest`` words at most, as many as are left over, are rounded again at the rate ``again``.
+    """
+    sums = rounded.groupBy(F.col("source").alias("of")).agg(
+        (F.first("rate") * F.sum("size") - F.sum("taken")).alias("left"), F.first("rate").alias("all_rate")
+    )
+    sums = staging.write(sums.where((F.abs("left") >= 1) & (F.col("all_rate") > 0)).drop("all_rate"), "left")
+    small = rounded.join(sized(sums, 128), F.col("source").eqNullSafe(F.col("of")))
+    small = small.where((F.col("size") > 0) & (F.col("size") <= F.abs("left")))
+    parts = small.groupBy("of", "part", "left").agg(F.sum("size").alias("words"), F.sum("taken").alias("taken"))
+    up = F.col("left") > 0
+    room = F.when(up, most * F.col("words") - F.col("taken")).otherwise(F.col("taken"))
+    parts = staging.write(parts.withColumn("room", room), "parts")
+    rooms = staging.write(parts.groupBy(F.col("of").alias("in")).agg(F.sum("room").alias("all_room")), "rooms")
+    parts = parts.join(sized(rooms, 128), F.col("of").eqNullSafe(F.col("in"))).where("all_room > 0")
+    used = F.greatest(F.lit(PASSED_ON), F.least(F.lit(1.0), F.abs("left") / F.col("all_room")))
+    order = Window.partitionBy("of").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("room").over(order), F.lit(0)) * F.col("used")
+    parts = parts.withColumn("used", used).withColumn("before", before)
+    share = F.least(F.col("room") * F.col("used"), F.abs("left") - F.col("before"))
+    parts = parts.withColumn("share", share).where("share > 0")
+    again = (F.col("taken") + F.when(up, F.col("share")).otherwise(-F.col("share"))) / F.col("words")
+    return parts.select("of", F.col("part").alias("of_part"), F.abs("left").alias("largest"), again.alias("again"))
+
+
 def mix_sources(
     docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: int = 3, share: float = 1.0
 ) -> DataFrame:
@@ -124,12 +163,23 @@ def mix_sources(
         copies = round_to_copies(part["size"].to_numpy(), float(part["rate"].iloc[0]), most)
         return part.assign(copies=copies, taken=copies * part["size"].to_numpy())
 
+    def rounded_again(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["size", "doc", "key"], ascending=[False, True, True], kind="stable")
+        sizes, copies = part["size"].to_numpy(), part["copies"].to_numpy().copy()
+        small = sizes <= part["largest"].iloc[0]
+        copies[small] = round_to_copies(sizes[small], float(part["again"].iloc[0]), most)
+        return part.assign(copies=copies, taken=copies * sizes).drop(columns=["largest", "again"])
+
     schema = (
         "doc_id long, source string, size long, doc long, key long, source_size long, target double, part long,"
         " rate double, copies long, taken long"
     )
     rows = rows.select("doc_id", "source", "size", "doc", "key", "source_size", "target", "part", "rate")
-    return rows.groupBy("source", "part").applyInPandas(rounded, schema).drop("part")
+    first = staging.write(rows.groupBy("source", "part").applyInPandas(rounded, schema), "rounded")
+    again = sized(staging.write(_passed_on(first, staging, most), "again"), 128)
+    same = F.col("source").eqNullSafe(F.col("of")) & (F.col("part") == F.col("of_part"))
+    second = first.join(again, same).drop("of", "of_part").groupBy("source", "part").applyInPandas(rounded_again, schema)
+    return first.join(again, same, "left_anti").unionByName(second).drop("part")
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: int = 3) -> DataFrame:
