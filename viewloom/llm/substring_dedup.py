@@ -1,7 +1,8 @@
 """Passages repeated across documents: seeds, extended both ways, kept over a length threshold.
 
 Seeds are winnowed anchors: of every window of ``window`` words, the ``seed`` words with the smallest
-hash. Documents are joined on their seeds. A seed's match is extended to the left and to the right at
+hash. Nothing is joined on a seed: it places its windows, which are
+grouped by the hash of the core they share (as in ``suffix_dedup``). A seed's match is extended to the left and to the right at
 once: places that agree in the whole stretch around the seed are matched as one group, places that
 agree only near it are told apart offset by offset (``repeats``), so that the ends of each match
 come out to the word. What the matches of at least ``window`` words cover is a maximal repeat.

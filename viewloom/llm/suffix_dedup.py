@@ -1,6 +1,7 @@
 """Repeated byte strings, by bucket-pointer refinement of sampled suffixes.
 
-A suffix's first bucket is its q-gram. Buckets are refined by what later offsets point at: the
+There are no buckets of q-grams: the q-gram only places a suffix's windows, and the first bucket is the
+hash of the core that these share, as in ``substring_dedup``. Identifiers are made of what later offsets point at: the
 identifier of 2h bytes is made of the identifiers of h bytes at the position and at h bytes after it,
 and every refinement reuses those before (``repeats.Ladder``). Identifiers are 64-bit mixes, not
 ranks, so the pointer of a later offset is computed where the text is and never fetched, and a bucket
