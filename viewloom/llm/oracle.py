@@ -112,4 +112,55 @@ ORACLE = {
             CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(y, ''))) AS kept_sha256
         FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
     """,
+    "op12_collocations": rf"""
+        WITH piece AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents
+        ),
+        w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece),
+        total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+        gram AS (
+            SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+            FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, unnest([1, 2, 3, 4]) t(k) WHERE len(w) >= k)
+        ),
+        f AS (SELECT lang, k, phrase, count(*) AS a FROM gram GROUP BY ALL HAVING count(*) >= 30),
+        cut AS (
+            SELECT lang, phrase, a, c, array_to_string(w[:c], ' ') AS x, array_to_string(w[c + 1:], ' ') AS y
+            FROM (SELECT lang, phrase, a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS c FROM f WHERE k > 1)
+        ),
+        scored AS (
+            SELECT cut.lang, cut.phrase, cut.a, c, fx.a AS l, fy.a AS r,
+                CAST((2000000 * CAST(cut.a AS HUGEINT)) // (fx.a + fy.a) AS BIGINT) AS score
+            FROM cut JOIN f fx ON fx.lang = cut.lang AND fx.phrase = x JOIN f fy ON fy.lang = cut.lang AND fy.phrase = y
+        ),
+        lowest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+        ),
+        part AS (
+            SELECT lang, a, array_to_string(w[i:i + m - 1], ' ') AS phrase
+            FROM (
+                SELECT lang, a, w, m, unnest(range(1, k - m + 2)) AS i
+                FROM (SELECT lang, a, k, string_split(phrase, ' ') AS w FROM f WHERE k > 2), unnest([2, 3]) t(m) WHERE m < k
+            )
+        ),
+        held AS (SELECT lang, phrase, max(a) AS longer FROM part GROUP BY ALL)
+        SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, n, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase COLLATE "C") AS rank
+            FROM lowest LEFT JOIN held USING (lang, phrase)
+            WHERE longer IS NULL OR 100 * CAST(longer AS HUGEINT) < 80 * CAST(a AS HUGEINT)
+        ) JOIN total USING (lang) WHERE rank <= 2000
+    """,
+    "op13_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+        ) WHERE rank <= 10
+    """,
 }

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from viewloom.llm import language, quality
 from viewloom.llm.ann import nearest
+from viewloom.llm.collocations import collocations
 from viewloom.llm.decontaminate import contamination
 from viewloom.llm.mixing import mix_sources
 from viewloom.llm.near_dedup import near_duplicate_groups
+from viewloom.llm.pivots import top_inner_products
 from viewloom.llm.quotes import reply_conversations
 from viewloom.llm.secret_scan import KINDS, count_of, scan_secrets, spans
 from viewloom.llm.substring_dedup import remove_repeated_passages
@@ -69,6 +71,15 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13, one_in=20)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), least=30, longest=4, subsumed=80, most=2000)
+
+
+def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_inner_products(vectors, vectors.where("vec_id % 100 = 0"), k=10, scale=1024)
+
+
 QUERIES = {
     "op1_ann": op1_ann,
     "op2_language_id": op2_language_id,
@@ -80,4 +91,6 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quality": op9_quality,
     "op10_decontaminate": op10_decontaminate,
+    "op12_collocations": op12_collocations,
+    "op13_exact_top_k": op13_exact_top_k,
 }
