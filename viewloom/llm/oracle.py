@@ -3,6 +3,7 @@
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 ORACLE = {
@@ -112,6 +113,25 @@ ORACLE = {
             CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(y, ''))) AS kept_sha256
         FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
     """,
+    "op11_ranked_search": rf"""
+        WITH d AS (SELECT doc_id, unnest(regexp_extract_all({LOWER}, '{TERM}')) AS term FROM documents),
+        len AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+        size AS (SELECT count(*) AS c, CAST(sum(n) AS BIGINT) AS l FROM len),
+        b AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({LOWER}, '{TERM}')) AS term FROM benchmark),
+        tf AS (SELECT doc_id, term, count(*) AS tf FROM d WHERE term IN (SELECT term FROM b) GROUP BY ALL),
+        weight AS (
+            SELECT term, CAST(floor(1000 * ln((2 * c + 2) / (2 * df + 1))) AS BIGINT) AS w
+            FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), size
+        ),
+        m AS (SELECT doc_id, 10 + (90 * n * c) // l AS m FROM len, size),
+        s AS (
+            SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+            FROM b JOIN tf USING (term) JOIN weight USING (term) JOIN m USING (doc_id) GROUP BY ALL
+        )
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0
+        ) WHERE rank <= 10
+    """,
     "op12_collocations": rf"""
         WITH piece AS (
             SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents

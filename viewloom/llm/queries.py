@@ -13,6 +13,7 @@ from viewloom.llm.mixing import mix_sources
 from viewloom.llm.near_dedup import near_duplicate_groups
 from viewloom.llm.pivots import top_inner_products
 from viewloom.llm.quotes import reply_conversations
+from viewloom.llm.ranked_search import search
 from viewloom.llm.secret_scan import KINDS, count_of, scan_secrets, spans
 from viewloom.llm.substring_dedup import remove_repeated_passages
 from viewloom.llm.suffix_dedup import remove_repeated_strings
@@ -71,6 +72,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13, one_in=20)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"), least=30, longest=4, subsumed=80, most=2000)
 
@@ -91,6 +96,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quality": op9_quality,
     "op10_decontaminate": op10_decontaminate,
+    "op11_ranked_search": op11_ranked_search,
     "op12_collocations": op12_collocations,
     "op13_exact_top_k": op13_exact_top_k,
 }
