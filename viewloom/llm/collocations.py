@@ -3,8 +3,8 @@
 The documents are dealt into ``SHARDS`` shards. A phrase that a language holds ``least`` times or more is held by some
 shard in its share at least: if the shard has m of the language's n words, ``ceil(least * m / n)`` times. So
 
-1. every shard is mined completely at that lowered support, level by level (words, then phrases of two and more): a
-   phrase is counted only where both of its parts, one word shorter, are frequent in the same shard;
+1. every shard is mined completely at that lowered support: words, then pairs of words that are both frequent in
+   the same shard, then all longer phrases whose pairs are;
 2. the locally frequent phrases of all shards are united;
 3. one more pass counts every one of them over all documents, by its text, and those below ``least`` go.
 
@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 from viewloom.llm.shared import Staging, sized
 from viewloom.llm.text import ASCII_LOWER, blocks, owners, pair, span_hashes, split_words
 
-SHARDS = 8
+SHARDS = 4
 FILTER_BITS = 27
 #: Bytes of text looked at together, bytes hashed together, and counts held by a task before it passes them on.
-TEXT_BYTES, HASH_BYTES, MOST_COUNTS = 4 << 20, 1 << 20, 1 << 21
+TEXT_BYTES, HASH_BYTES, MOST_COUNTS = 1 << 20, 1 << 19, 1 << 20
+BATCH_ROWS = 1 << 16
 
 PIECE_ENDS = np.zeros(256, bool)
 PIECE_ENDS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -126,33 +127,41 @@ class Tally:
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         for (slot, lang_id), parts in self.held.items():
-            names, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-            n = np.bincount(at, np.concatenate([p[1] for p in parts]), len(names)).astype(np.int64)
-            columns = [np.full(len(names), slot), np.full(len(names), lang_id), names.view(np.int64), n]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["slot", "lang_id", "gram", "n"])
+            names, n = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(names)
+            names = names[order]
+            first = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
+            names, n = names[first].view(np.int64), np.add.reduceat(n[order], first)
+            for a in range(0, len(names), BATCH_ROWS):
+                some = names[a : a + BATCH_ROWS]
+                columns = [np.full(len(some), slot), np.full(len(some), lang_id), some, n[a : a + BATCH_ROWS]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["slot", "lang_id", "gram", "n"])
         self.held.clear()
         self.size = 0
 
 
-def _mined(length: int, shorter: np.ndarray | None):
-    """Counts of the phrases of ``length`` words by shard, where both parts one word shorter pass the filter ``shorter``."""
+def _mined(lengths: range, known: int, bits: np.ndarray | None):
+    """Counts by shard of the phrases of ``lengths`` words whose parts of ``known`` words all pass the filter ``bits``."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally()
         for block in blocks(batches, size=TEXT_BYTES):
             passage = Passage(block)
             slots, languages = passage.of_rows("slot"), passage.of_rows("lang_id")
-            names, whole = passage.phrases(length)
-            if length > 1:
-                parts, _ = passage.phrases(length - 1)
-                known = _passes(parts ^ languages[: len(parts)] ^ slots[: len(parts)], shorter)
-                whole &= known[: len(names)] & known[1 : len(names) + 1]
-            at = np.flatnonzero(whole)
-            order = at[np.argsort(slots[at], kind="stable")]
-            for some in np.split(order, np.flatnonzero(np.diff(slots[order])) + 1):
-                if len(some):
-                    place = tuple(int(x[some[0]].view(np.int64)) for x in (slots, languages))
-                    tally.add(place, names[some] ^ languages[some])
+            passing = None
+            if known:
+                parts, _ = passage.phrases(known)
+                passing = _passes(parts ^ languages[: len(parts)] ^ slots[: len(parts)], bits)
+            for length in lengths:
+                names, whole = passage.phrases(length)
+                for i in range(length - known + 1 if known else 0):
+                    whole &= passing[i : i + len(names)]
+                at = np.flatnonzero(whole)
+                order = at[np.argsort(slots[at], kind="stable")]
+                for some in np.split(order, np.flatnonzero(np.diff(slots[order])) + 1):
+                    if len(some):
+                        place = tuple(int(x[some[0]].view(np.int64)) for x in (slots, languages))
+                        tally.add(place, names[some] ^ languages[some])
             if tally.size > MOST_COUNTS:
                 yield from tally.rows()
         yield from tally.rows()
@@ -211,20 +220,24 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, staging: Staging
     names = {"lang_id": F.xxhash64("lang"), "slot": F.xxhash64("lang", "shard")}
     texts = staging.write(texts.withColumns(names).drop("shard"), "texts")
 
-    sizes, shares, bits, mined = None, None, None, []
-    for length in range(1, longest + 1):
-        counts = texts.select("text", "slot", "lang_id").mapInArrow(_mined(length, bits), MINED)
+    sizes, shares, known, bits, mined = None, None, 0, None, []
+    for lengths in (range(1, 2), range(2, 3), range(3, longest + 1)):
+        if lengths.start > longest:
+            break
+        counts = texts.select("text", "slot", "lang_id").mapInArrow(_mined(lengths, known, bits), MINED)
         counts = counts.groupBy("slot", "lang_id", "gram").agg(F.sum("n").alias("n"))
-        if length == 1:
+        if not known:
             counts = staging.write(counts, "words")
             sizes = counts.groupBy("slot", "lang_id").agg(F.sum("n").alias("m"))
             whole = sizes.groupBy("lang_id").agg(F.sum("m").alias("all"))
             share = F.expr(f"cast((cast({least} as decimal(20,0)) * m + all - 1) div all as long)").alias("support")
             shares = staging.write(sizes.join(whole, "lang_id").select("slot", share), "shares")
         frequent = counts.join(sized(shares, 48), "slot").where(F.col("n") >= F.col("support"))
-        frequent = staging.write(frequent.select("slot", "lang_id", "gram"), f"mined{length}")
+        frequent = staging.write(frequent.select("slot", "lang_id", "gram"), f"mined{lengths.start}")
         mined.append(frequent.select("gram"))
-        bits = _filter(frequent, F.col("gram").bitwiseXOR(F.col("slot")))
+        known = lengths.start
+        if known < min(longest, 3):
+            bits = _filter(frequent, F.col("gram").bitwiseXOR(F.col("slot")))
     union = mined[0]
     for more in mined[1:]:
         union = union.unionByName(more)
