@@ -7,7 +7,8 @@ angles to them is computed once and staged. For a query q and a row x the larges
 ``|angle(q, p) - angle(x, p)|`` over all pivots p is a lower bound of their angle, and so an upper bound of
 the score.
 
-Rows are filed under their nearest pivot, in blocks of bounded size; so are queries. A block of rows meets a block
+Rows are filed under their nearest pivot, in blocks of bounded size; so are queries, but pivots with few queries
+share a block. A block of rows meets a block
 of queries in one task, unless the range of its angles to its own pivot rules out all of them. There each
 query takes the rows in the order of their bounds and stops at the first that cannot beat the k-th
 score it has. It starts from the k-th score within the sample. No row is left out but by its bound.
@@ -183,6 +184,17 @@ def _in_parts(table: DataFrame, cell: str, part: str, most: int) -> DataFrame:
     return dealt.withColumn(part, F.pmod(F.xxhash64("vec_id", "v"), "_parts").cast("int")).drop("_parts")
 
 
+def _merged(table: DataFrame, cell: str, most: int) -> DataFrame:
+    """Cells that follow each other share the first one's number as long as they have ``most`` rows together at most."""
+    leads, lead, filled = [0] * PIVOTS, 0, most
+    for row in table.groupBy(cell).count().orderBy(cell).collect():  # one row a pivot
+        if filled + row["count"] > most:
+            lead, filled = row[cell], 0
+        filled += row["count"]
+        leads[row[cell]] = lead
+    return table.withColumn(cell, F.get(F.lit(leads), F.col(cell)).cast("int"))
+
+
 def top_inner_products(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's ``k`` rows of the largest inner product, its own id left out.
 
@@ -230,7 +242,7 @@ def top_inner_products(vectors: DataFrame, queries: DataFrame, k: int = 10, scal
     asks = wanted.mapInArrow(_asked(pivots, dimension, ids, seeds, k), schema + ", floor long, reach double")
     asks = staging.write(asks.withColumnRenamed("cell", "qcell"), "asks")
     table = _in_parts(table, "cell", "part", BLOCK_ROWS)
-    asks = _in_parts(asks, "qcell", "qpart", BLOCK_QUERIES)
+    asks = _in_parts(_merged(asks, "qcell", BLOCK_QUERIES), "qcell", "qpart", BLOCK_QUERIES)
     pairs = sized(staging.write(_block_pairs(table, asks), "pairs"), 64)
     block = ["cell", "part", "qcell", "qpart"]
     met = table.join(pairs, ["cell", "part"]).groupBy(*block).cogroup(asks.join(pairs, ["qcell", "qpart"]).groupBy(*block))
