@@ -1,14 +1,26 @@
 import json
+import threading
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tests import two_bus as fixture
-from viewloom import append_view, load_study, read_simulation, read_view, write_filtered, write_granular, write_structure
+from viewloom import (
+    append_view,
+    load_study,
+    read_simulation,
+    read_view,
+    write_filtered,
+    write_granular,
+    write_structure,
+    write_view,
+)
 from viewloom import schemas as S
 from viewloom.sources import documents as docs
 from viewloom.sources.study import read_catalogs, read_view_config
-from viewloom.staging import stage, staging_root
+from viewloom.staging import released, stage, stage_measured, staging_root
 
 
 def document(spark, tmp_path, root, body, shape):
@@ -168,6 +180,92 @@ def test_view_can_be_appended_to(spark, tmp_path):
     assert read_view(spark, path).count() == 2
 
 
+VIEW = "metric_id string, metric_location string, breakdown_properties string, view_date timestamp_ntz, scenario long, metric_value double"
+
+
+def test_a_run_can_be_appended_again(spark, tmp_path):
+    """The same run replaces its rows, another adds, and the run is no column of the view."""
+    view = lambda *values: spark.createDataFrame([("M", "l", "", None, 1, v) for v in values], VIEW)
+    values = lambda: sorted(r["metric_value"] for r in read_view(spark, path).collect())
+    path = write_view(view(1.0), str(tmp_path), run="2024-01-01")
+    append_view(view(2.0, 3.0), path, run="2024-02")
+    append_view(view(2.0, 3.0), path, run="2024-02")
+    assert values() == [1.0, 2.0, 3.0] and read_view(spark, path).columns == list(S.VIEW_COLUMNS)
+    append_view(view(4.0), path, run="2024-02")
+    append_view(view(5.0), path, run="b=/c")
+    assert values() == [1.0, 4.0, 5.0]
+    with pytest.raises(ValueError, match="kept by run"):
+        append_view(view(6.0), path)
+    plain = write_view(view(1.0), str(tmp_path / "plain"))
+    with pytest.raises(ValueError, match="not kept by run"):
+        append_view(view(6.0), plain, run="x")
+    with pytest.raises(ValueError, match="id"):
+        append_view(view(6.0), path, run="")
+    assert values() == [1.0, 4.0, 5.0]
+
+
+def test_a_failed_run_leaves_the_view_as_it_was(spark, tmp_path):
+    view = spark.createDataFrame([("M", "l", "", None, 1, 1.0)], VIEW)
+    path = write_view(view, str(tmp_path), run="a")
+    broken = view.withColumn("metric_value", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        append_view(broken, path, run="a")
+    assert [r["metric_value"] for r in read_view(spark, path).collect()] == [1.0]
+
+
+def row_groups(folder):
+    files = list(folder.glob("**/*.parquet"))
+    metadata = [pq.ParquetFile(f).metadata for f in files if f.is_file()]
+    return [sorted((m.row_group(i).num_rows for i in range(m.num_row_groups)), reverse=True) for m in metadata]
+
+
+def test_every_written_table_has_row_groups_of_64_000_rows(spark, tmp_path):
+    """In the footers: full groups, and what is left."""
+    rows = spark.range(0, 150_000, numPartitions=1)
+    view = rows.select(
+        F.lit("M").alias("metric_id"), F.col("id").cast("string").alias("metric_location"), F.lit("").alias("breakdown_properties"),
+        F.lit(None).cast("timestamp_ntz").alias("view_date"), F.lit(0).cast("long").alias("scenario"), F.rand(1).alias("metric_value"),
+    )
+    full = [[64_000, 64_000, 22_000]]
+    assert row_groups(Path(write_view(view, str(tmp_path / "a")))) == full
+    assert row_groups(Path(write_view(view, str(tmp_path / "b"), run="x"))) == full
+    append_view(view, str(tmp_path / "c"))
+    assert row_groups(tmp_path / "c") == full
+    for write in (write_filtered, write_structure):
+        write(view, str(tmp_path / write.__name__))
+        assert row_groups(tmp_path / write.__name__) == full
+    staged = stage(view, "groups")
+    assert row_groups(Path(staged.inputFiles()[0].removeprefix("file:")).parent) == full
+
+
+def test_scopes_belong_to_their_thread(spark):
+    """A table staged by one thread outlives the scope that another has open."""
+    opened, staged = threading.Event(), threading.Event()
+
+    def other():
+        with released(spark):
+            opened.set()
+            staged.wait(60)
+
+    thread = threading.Thread(target=other)
+    thread.start()
+    opened.wait(60)
+    table = stage(spark.range(5), "mine")
+    with released(spark):
+        inner = stage(spark.range(3), "inner")
+        assert inner.count() == 3
+    staged.set()
+    thread.join()
+    assert table.count() == 5
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        inner.count()
+
+
+def test_sizes_come_with_the_write(spark):
+    table, measured = stage_measured(spark.range(10), "sizes", n=F.count("*"), most=F.max("id"), none=F.sum(F.lit(None).cast("long")))
+    assert measured == {"n": 10, "most": 9, "none": None} and table.columns == ["id"]
+
+
 def test_staged_tables_live_below_the_checkpoint_folder(spark):
     staged = stage(spark.range(3), "numbers")
     assert staged.count() == 3

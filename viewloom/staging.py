@@ -10,10 +10,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
-_scopes: list[list[str]] = []
+# Fixed value: rows of a row group of every written table.
+ROW_GROUP_OPTION, ROW_GROUP_ROWS = "parquet.block.row.count.limit", 64_000
+
+#: The folders staged within the innermost ``released`` of this thread.
+_scope: ContextVar[list[str] | None] = ContextVar("viewloom_staged", default=None)
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -50,19 +55,32 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the staging root and return a reader of what was written."""
     spark = df.sparkSession
     folder = new_folder(spark, f"viewloom-{name}")
-    if _scopes:
-        _scopes[-1].append(folder)
+    staged = _scope.get()
+    if staged is not None:
+        staged.append(folder)
     path = f"{folder}/{name}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option(ROW_GROUP_OPTION, ROW_GROUP_ROWS).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_measured(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """``stage``, and aggregates over what is written, taken by the write itself.
+
+    A task that runs twice may be counted twice, so that sums are upper bounds: they serve to compare a size
+    with a budget, or a number with zero.
+    """
+    observation = Observation()
+    observed = df.observe(observation, *[measure.alias(key) for key, measure in measures.items()])
+    return stage(observed, name), observation.get
+
+
 @contextmanager
 def released(spark: SparkSession) -> Iterator[None]:
-    """Removes the tables that are staged within; nothing that reads them may be used afterwards."""
-    _scopes.append([])
+    """Removes the tables that this thread stages within; nothing that reads them may be used afterwards."""
+    token = _scope.set([])
     try:
         yield
     finally:
-        for folder in _scopes.pop():
+        for folder in _scope.get():
             remove(spark, folder)
+        _scope.reset(token)
