@@ -94,3 +94,32 @@ def test_hub_peers_are_never_gathered(connections):
     plan = formatted(port_peers(connections))
     assert "collect_" not in plan and plan.count("partial_min") >= 1
     assert port_peers(connections).filter(F.col("ambiguous")).count() == 1
+
+
+def test_structure_rows_are_joined_once_with_a_map_of_peers(spark, connections):
+    """No row a port, no regathering: one exchange of the rows, none at all if the map is broadcast."""
+    from tests.plans import formatted
+
+    rows = spark.createDataFrame([(1, "b", ["r", "p"])], "id int, component string, location_ports array<string>")
+    plan = formatted(locate(rows.hint("merge"), ["id", "component"], connections))
+    assert "collect_list" not in plan
+    of_rows = plan.split("SortMergeJoin LeftOuter")[1].split("Scan ExistingRDD (1)")[0]
+    assert of_rows.count("Exchange") == 1 and "Generate" not in of_rows and "Aggregate" not in of_rows
+
+
+def test_only_ports_of_terms_enter_a_map(spark):
+    """A hub with ten thousand ports: its map holds the two that are asked for."""
+    from viewloom.operators.locating import port_maps
+
+    hub = spark.range(10_000).selectExpr(
+        "'hub' AS component1", "concat('p', id) AS port1", "concat('c', id) AS component2", "'home' AS port2"
+    )
+    asked = spark.createDataFrame([("p7",), ("p9999",), ("none",)], "port string")
+    maps = {r["component"]: r["peers"] for r in port_maps(hub, asked).collect()}
+    assert {p: e["peer"] for p, e in maps["hub"].items()} == {"p7": "c7", "p9999": "c9999"} and len(maps) == 1
+    rows = spark.createDataFrame(
+        [(1, "hub", ["p9999", None, "p7"]), (2, None, ["p7"]), (3, None, None), (4, "hub", [None])],
+        "id int, component string, location_ports array<string>",
+    )
+    located = {r["id"]: r["metric_location"] for r in locate(rows, ["id"], hub).collect()}
+    assert located == {1: "c9999|c7", 2: "", 3: None, 4: ""}

@@ -36,9 +36,9 @@ def or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def join_peers(positioned_peers: Column) -> Column:
-    """``a|b|c`` from an array of (pos, peer) structs, in port order."""
-    return F.array_join(F.transform(F.sort_array(positioned_peers), lambda x: x["peer"]), "|")
+def join_peers(peers: Column) -> Column:
+    """``a|b|c`` from an array of peers, in its order."""
+    return F.array_join(peers, "|")
 
 
 def parse_ports(raw: Column) -> Column:

@@ -59,35 +59,50 @@ def peer_violations(needed: DataFrame, connections: DataFrame) -> DataFrame:
     return found.select("component", "port", problem.alias("problem")).filter(F.col("problem").isNotNull())
 
 
-def _asked_problem() -> Column:
-    problem = _problem(F.col("component"), F.col("port"), F.col("peer"), F.col("ambiguous"))
-    return F.when(F.col("port").isNotNull(), problem)
+def port_maps(connections: DataFrame, ports: DataFrame) -> DataFrame:
+    """One row per connected component: ``peers``, a map from its ports to (peer, ambiguous).
+
+    Only the ports in ``ports`` (port) enter a map, so its size is bounded by the ports that terms name, however
+    many a hub has.
+    """
+    asked = port_peers(connections).join(ports, "port", "left_semi")
+    entry = F.struct("port", F.struct("peer", "ambiguous"))
+    return asked.groupBy("component").agg(F.map_from_entries(F.collect_set(entry)).alias("peers"))
+
 
+def location_port_names(rows: DataFrame) -> DataFrame:
+    """The distinct ports (port) that ``location_ports`` of some rows name."""
+    return rows.select(F.explode("location_ports").alias("port")).distinct()
 
-def locate(rows: DataFrame, keys: list[str], connections: DataFrame) -> DataFrame:
-    """Adds ``metric_location`` and ``location_problem`` to rows that ``keys`` identify.
+
+def locate(rows: DataFrame, keys: list[str], connections: DataFrame, ports: DataFrame | None = None) -> DataFrame:
+    """``keys`` of every row, ``location_ports``, ``location_problem`` and ``metric_location``.
 
     ``rows`` has ``component`` and ``location_ports`` (null: the component itself; else
     the peers behind the ports, joined in port order). A row that cannot be located has
-    a null location and says why. ``keys`` must include everything else to keep; each
-    group regathers one row's ports, whose number the term's definition fixes.
+    a null location and says why. Rows are joined once, with the map of their component's peers;
+    their ports are never taken apart into rows. ``ports`` (port) are those that rows can name, where a smaller table than
+    ``rows`` tells them.
     """
-    ports = F.col("location_ports")
-    peer = F.when(F.col("port").isNotNull() & ~F.coalesce("ambiguous", F.lit(True)), F.struct("_pos", "peer"))
-    located = (
-        rows.select("*", F.posexplode_outer(ports).alias("_pos", "port"))
-        .join(port_peers(connections), ["component", "port"], "left")
-        .withColumn("_problem", _asked_problem())
-        .groupBy(*keys, "location_ports")
-        .agg(
-            F.collect_list(peer).alias("_peers"),
-            F.min_by("_problem", F.when(F.col("_problem").isNotNull(), F.col("_pos"))).alias("location_problem"),
-        )
+    named = F.col("location_ports")
+    needed = location_port_names(rows) if ports is None else ports
+    found = rows.join(port_maps(connections, needed), "component", "left").withColumn(
+        "_asked",
+        F.transform(
+            F.filter(named, lambda port: port.isNotNull()),
+            lambda port: F.struct(port.alias("port"), F.try_element_at("peers", port).alias("found")),
+        ),
+    )
+    problems = F.transform(
+        "_asked", lambda a: _problem(F.col("component"), a["port"], a["found"]["peer"], a["found"]["ambiguous"])
     )
-    found = F.when(F.col("location_problem").isNull(), join_peers(F.col("_peers")))
-    return located.select(
+    found = found.withColumn("location_problem", F.get(F.filter(problems, lambda p: p.isNotNull()), F.lit(0)))
+    peers = join_peers(F.transform("_asked", lambda a: a["found"]["peer"]))
+    return found.select(
         *keys,
         "location_ports",
         "location_problem",
-        F.when(ports.isNull(), F.col("component")).otherwise(found).alias("metric_location"),
+        F.when(named.isNull(), F.col("component"))
+        .when(F.col("location_problem").isNull(), peers)
+        .alias("metric_location"),
     )

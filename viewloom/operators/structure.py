@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.functions import qualified_model
-from viewloom.operators.locating import locate
+from viewloom.operators.locating import locate, location_port_names
 
 METRIC_KEYS = ["catalog_key", "metric_id"]
 
@@ -79,7 +79,7 @@ def metric_structure(
         "_copies", F.col("_instances") * F.col("_models")
     )
     keys = [*metrics.columns, "term_ord", "model_ref", "component", "output_id", "_copies"]
-    located = locate(rows.select(*keys, "location_ports"), keys, connections)
+    located = locate(rows.select(*keys, "location_ports"), keys, connections, location_port_names(terms))
     merged = located.groupBy(
         *metrics.columns, "component", "metric_location", F.col("output_id").alias("output")
     ).agg(F.sum("_copies").alias("copies"), F.min("location_problem").alias("location_problem"))
