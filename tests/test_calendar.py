@@ -9,7 +9,7 @@ from viewloom.operators.calendar import constant_rows, date_steps, summarise_cal
 from viewloom.operators.checks import calendar_column_violations
 
 START = datetime(2025, 1, 1)
-SPLIT = Limits(broadcast_bytes=0, hot_rows=2)
+SPLIT = Limits(broadcast_bytes=0)
 
 
 def calendar(spark, rows):

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from viewloom import Limits
-from viewloom.operators.joins import fits, key_counts, lookup_join, measured_bytes, split_join
+from viewloom.operators.joins import fits, lookup_join, measured_bytes
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +17,7 @@ def lookup(spark):
     return spark.createDataFrame([("hot", "x"), ("hot", "y"), ("k1", "x"), ("k2", "z"), ("none", "z"), (None, "z")], "k string, w string")
 
 
-@pytest.mark.parametrize("limits", [Limits(), Limits(0, 1), Limits(0, 100), Limits(0, 10**9)])
+@pytest.mark.parametrize("limits", [Limits(), Limits(0)])
 def test_lookup_join_equals_a_plain_join(facts, lookup, limits):
     plain = facts.join(lookup, "k").groupBy("k", "v", "w").count()
     joined = lookup_join(facts, lookup, ["k"], limits)
@@ -25,16 +25,29 @@ def test_lookup_join_equals_a_plain_join(facts, lookup, limits):
     assert sorted(joined.groupBy("k", "v", "w").count().collect()) == sorted(plain.collect())
 
 
-def test_copies_of_a_hot_row_spread_over_tasks(spark, facts, lookup):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_a_hot_key_is_split_without_a_count(spark, facts, lookup):
+    """Two thirds of the rows have one key: its partition is read in several tasks, and the rows are read once."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
-        joined = split_join(facts, lookup, ["k"], key_counts(facts, ["k"]), Limits(0, 50))
-        tasks = joined.filter("k = 'hot'").groupBy(F.spark_partition_id()).count().count()
-        assert tasks > 1
+        wide = facts.withColumn("text", F.sha2(F.concat("v", F.rand(1).cast("string")), 512))
+        joined = lookup_join(wide, lookup, ["k"], Limits(0)).withColumn("task", F.spark_partition_id())
+        rows = joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+        assert len({row["task"] for row in rows if row["k"] == "hot"}) > 1
+        assert plan.split("== Initial Plan ==")[0].count("Range (0, 3000") == 1
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
 
 
 def test_measured_size_grows_with_text(spark):

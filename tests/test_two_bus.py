@@ -185,7 +185,7 @@ def test_missing_connection_raises(spark, two_bus):
 
 
 def test_shuffle_paths_give_the_same_view(two_bus, result):
-    view = build_view(two_bus, Limits(broadcast_bytes=0, hot_rows=3))
+    view = build_view(two_bus, Limits(broadcast_bytes=0))
     assert view.exceptAll(result).isEmpty() and result.exceptAll(view).isEmpty()
 
 
@@ -195,3 +195,34 @@ def test_written_view_reads_back(spark, two_bus, tmp_path, result):
     path = write_view(build_view(two_bus), str(tmp_path))
     append_view(result, path)
     assert read_view(spark, path).count() == 2 * 97
+
+
+def test_two_views_at_once(spark, two_bus, tmp_path, result):
+    """Each thread's run removes what it staged itself, and nothing else."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def build(number):
+        return sorted(map(str, run(two_bus, str(tmp_path / str(number))).collect()))
+
+    with ThreadPoolExecutor(3) as pool:
+        views = list(pool.map(build, range(3)))
+    assert views[0] == views[1] == views[2] == sorted(map(str, result.collect()))
+
+
+def test_few_actions_come_before_the_fact_pass(spark, two_bus, monkeypatch):
+    """References, structure and groups are measured by the jobs that write them: three writes, the calendar, the
+    outputs, and one more if references are skipped."""
+    from pyspark.sql import DataFrame, DataFrameWriter
+
+    from viewloom.operators import aggregate
+
+    actions, before = [], []
+    for kind, name in ((DataFrame, "collect"), (DataFrame, "first"), (DataFrame, "isEmpty"), (DataFrameWriter, "parquet")):
+        for owner in {kind, *kind.__subclasses__()}:
+            if name in vars(owner):
+                plain = vars(owner)[name]
+                monkeypatch.setattr(owner, name, lambda self, *a, _p=plain, _n=name, **k: actions.append(_n) or _p(self, *a, **k))
+    plain = aggregate.partial_values
+    monkeypatch.setattr(aggregate, "partial_values", lambda *a: before.append(len(actions)) or plain(*a))
+    build_view(two_bus)
+    assert before and before[0] <= 7, actions

@@ -12,7 +12,7 @@ from tests.brute import brute_view
 from viewloom import Limits, Study, build_view
 from viewloom import schemas as S
 
-SPLIT = Limits(broadcast_bytes=0, hot_rows=3)
+SPLIT = Limits(broadcast_bytes=0)
 TERMS = {
     ("a", "SUM"): ("sum", [("gen", "p", ["home"]), ("load", "q", ["home"])]),
     ("a", "TWICE"): ("sum", [("gen", "p", ["hub"]), ("gen", "p", ["hub"])]),

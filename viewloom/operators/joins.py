@@ -1,8 +1,8 @@
 """Joins of a large table with a lookup table of unknown size.
 
-A lookup is broadcast only after its size has been measured against a budget. Beyond
-the budget the join shuffles, and keys that hold more rows than one task should take
-are split over several tasks, with the few lookup rows of those keys repeated.
+A lookup is broadcast only after its size has been measured against a budget. Beyond the budget both sides
+are shuffled. Keys that hold more rows than one task should take are then split by adaptive execution, which
+sees the sizes of the shuffled partitions: the large table is read once, and no key has to be counted before.
 """
 
 from __future__ import annotations
@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewloom.staging import stage
-
 ROW_OVERHEAD_BYTES = 48
 
 
@@ -24,7 +22,6 @@ class Limits:
     """Sizes that decide how a join runs; they never decide what it returns."""
 
     broadcast_bytes: int = 64 * 1024 * 1024
-    hot_rows: int = 5_000_000
 
 
 DEFAULT_LIMITS = Limits()
@@ -51,52 +48,15 @@ def fits(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> bool:
     return measured_bytes(df) <= limits.broadcast_bytes
 
 
-def key_counts(facts: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows per key, staged. Copies of a key collapse before the shuffle."""
-    return stage(facts.dropna(subset=list(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("n")), "key_counts")
-
-
 def lookup_join(
-    facts: DataFrame, lookup: DataFrame, on: Sequence[str], limits: Limits = DEFAULT_LIMITS
-) -> DataFrame:
-    """Inner join of ``facts`` with ``lookup``: broadcast within the budget, else split by key."""
-    if fits(lookup, limits):
-        return facts.join(F.broadcast(lookup), list(on), "inner")
-    return split_join(facts, lookup, on, key_counts(facts, on), limits)
-
-
-def split_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    counts: DataFrame,
-    limits: Limits = DEFAULT_LIMITS,
+    facts: DataFrame, lookup: DataFrame, on: Sequence[str], limits: Limits = DEFAULT_LIMITS, small: bool | None = None
 ) -> DataFrame:
-    """Inner shuffle join in which every hot key is spread over several tasks.
+    """Inner join of ``facts`` with ``lookup``: broadcast within the budget, else shuffled.
 
-    ``counts`` holds the rows per key of ``facts``. A key is hot above ``hot_rows`` rows, so
-    there are at most as many hot keys as the table has rows over ``hot_rows``. They are
-    broadcast within the budget; beyond it they are joined by shuffle, which has to place each
-    key's rows once more.
+    ``small`` says whether the lookup fits, where that is known. The shuffled join asks for a sort-merge join, whose
+    large partitions adaptive execution reads in several tasks, each with the few lookup rows of that partition.
+    Copies of one row are split like any others, by the task that wrote them.
     """
-    on = list(on)
-    share = max(limits.hot_rows, 1)
-    hot = counts.filter(F.col("n") > share).select(*on, F.ceil(F.col("n") / share).cast("int").alias("_ways"))
-    hot = F.broadcast(hot) if fits(hot, limits) else hot.hint("merge")
-    rest = ["_part", *[c for c in facts.columns if c not in on]]
-    # The input partition is part of the hash so that identical rows spread as well; the
-    # result is the same when a task is run again.
-    spread = F.pmod(F.xxhash64(*rest), F.col("_ways"))
-    left = (
-        facts.dropna(subset=on)
-        .withColumn("_part", F.spark_partition_id())
-        .join(hot, on, "left")
-        .withColumn("_salt", F.when(F.col("_ways").isNull(), F.lit(0)).otherwise(spread).cast("int"))
-        .drop("_ways", "_part")
-    )
-    right = (
-        lookup.join(hot, on, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ways"), F.lit(1)) - 1)))
-        .drop("_ways")
-    )
-    return left.join(right, [*on, "_salt"], "inner").drop("_salt")
+    if fits(lookup, limits) if small is None else small:
+        return facts.join(F.broadcast(lookup), list(on), "inner")
+    return facts.dropna(subset=list(on)).join(lookup.hint("merge"), list(on), "inner")
