@@ -4,6 +4,7 @@ then one group-by per aggregation stage."""
 from __future__ import annotations
 
 from studies.queries import DIGITS
+from viewloom.schemas import CALENDAR_COLUMNS, FILTERED_COLUMNS, SIMULATION_COLUMNS
 from studies.tables import (
 
     EVENT_REFERENCES,
@@ -248,6 +249,24 @@ SELECT 'model' AS rule, r.model_id AS subject,
   CASE WHEN l.model_id IS NULL THEN 'unknown model' ELSE 'model without category' END AS detail
 FROM (SELECT 'p' || p_partkey AS model_id FROM part) r LEFT JOIN latest l ON l.model_id = r.model_id
 WHERE l.model_id IS NULL OR l.category = '?'""",
+    "column_violations": f"""WITH contract(subject, name) AS (
+  SELECT 'simulation', unnest({list(SIMULATION_COLUMNS)}) UNION ALL
+  SELECT 'filtered', unnest({list(FILTERED_COLUMNS)}) UNION ALL
+  SELECT 'calendar', unnest({list(CALENDAR_COLUMNS)})),
+given(subject, name) AS (
+  SELECT 'simulation', unnest({[c for c in SIMULATION_COLUMNS if c != "value"] + ["unit"]}) UNION ALL
+  SELECT 'filtered', unnest({list(SIMULATION_COLUMNS) + ["date"]}) UNION ALL
+  SELECT 'calendar', unnest(['block', 'absolute_time_index', 'granular_date'])),
+size(subject, n) AS (
+  SELECT 'simulation', (SELECT 2 * count(*) FROM lineitem) + (SELECT count(*) FROM supplier) UNION ALL
+  SELECT 'filtered', (SELECT 2 * count(*) FROM lineitem) + (SELECT count(*) FROM supplier) UNION ALL
+  SELECT 'calendar', (SELECT count(*) FROM events)),
+found AS (
+  SELECT 'column_missing' AS rule, subject, name AS detail FROM contract ANTI JOIN given USING (subject, name) UNION ALL
+  SELECT 'column_unknown', subject, name FROM given ANTI JOIN contract USING (subject, name) UNION ALL
+  SELECT 'column_order', subject, string_agg(name, ', ') FROM given WHERE subject = 'calendar' GROUP BY subject
+  HAVING list(name) <> {list(CALENDAR_COLUMNS)})
+SELECT rule, subject, detail, n AS rows FROM found JOIN size USING (subject)""",
     "metric_refs": f"""SELECT min(pos) OVER (PARTITION BY catalog_key) AS catalog_pos, pos, catalog_key, metric_id
 FROM ({_PARSED})""",
     "latest_metric_definition": f"SELECT catalog_key, metric_id, pos, terms_operator, time_operator FROM ({_LATEST})",
@@ -310,6 +329,7 @@ FROM sim""",
 SELECT 'scope_category' AS rule, id AS subject, '' AS detail FROM scopes WHERE category IS NULL
 UNION ALL SELECT 'scope_calendar', id, '' FROM scopes WHERE calendar IS NULL
 UNION ALL SELECT 'time_grain', id, grain FROM scopes WHERE grain NOT IN ('hour', 'day', 'week', 'month', 'year')""",
+    "view_append_by_run": EVENTS + f"SELECT * FROM ({_VIEW}) UNION ALL SELECT * FROM ({_VIEW})",
     "view_append": EVENTS + f"SELECT * FROM ({_VIEW}) UNION ALL SELECT * FROM ({_VIEW})",
     "located_components": LINEITEM
     + """, peers AS (SELECT component, port, min(peer) AS peer, count(*) AS n FROM edges GROUP BY component, port),

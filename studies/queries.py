@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,6 +105,24 @@ def model_violations(spark, sf_dir):
     return checks.model_violations(t.requested_models(spark, sf_dir), library)
 
 
+def column_violations(spark, sf_dir):
+    """Tables that break their contracts: a column missing, one too many, two swapped; with each table's rows."""
+    simulation = t.lineitem_simulation(spark, sf_dir)
+    swapped = t.ticks_calendar(spark, sf_dir).select("block", "absolute_time_index", "granular_date")
+    broken = [
+        (simulation.drop("value").withColumn("unit", F.lit("MW")), checks.simulation_column_violations),
+        (swapped, lambda calendar: checks.calendar_column_violations(spark, calendar.columns)),
+        (simulation.withColumn("date", F.lit(None).cast("date")), checks.filtered_column_violations),
+    ]
+    found = []
+    for table, check in broken:
+        violations = check(table)
+        subject = violations.first()["subject"]
+        rows = table.groupBy(F.lit(subject).alias("subject")).agg(F.count("*").alias("rows"))
+        found.append(violations.join(rows, "subject").select("rule", "subject", "detail", "rows"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def metric_refs(spark, sf_dir):
     return vl.metric_references(t.registry_references(spark, sf_dir))
 
@@ -223,6 +242,16 @@ def view_append(spark, sf_dir):
     return _rounded(vl.read_view(spark, path), "metric_value")
 
 
+def view_append_by_run(spark, sf_dir):
+    """A view kept by run: two runs, of which the second is appended twice and counts once."""
+    study = t.events_study(spark, sf_dir)
+    view = vl.build_view(study)
+    path = vl.write_view(view, _scratch(spark, "results"), run="first")
+    for _ in range(2):
+        vl.append_view(view, path, run="second")
+    return _rounded(vl.read_view(spark, path), "metric_value")
+
+
 def located_components(spark, sf_dir):
     """Every qualified component by itself, by one port and by three ports, in no alphabetical order."""
     ports = F.array(
@@ -322,6 +351,7 @@ QUERIES = {
         time_operator_violations,
         catalog_violations,
         definition_violations,
+        column_violations,
         metric_structure,
         terms_sum,
         terms_avg,
@@ -334,6 +364,7 @@ QUERIES = {
         structure_round_trip,
         granular_round_trip,
         view_append,
+        view_append_by_run,
         located_components,
         selected_metrics,
         terms_with_models,
