@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 from dataclasses import replace
 
@@ -37,6 +38,7 @@ def session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="viewloom-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import viewloom as vl
 from studies import tables as t
+from viewloom.sources import documents as docs
 from viewloom.staging import file_system, new_folder
 
 
@@ -62,6 +63,37 @@ def write_lineitem_study(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def write_system(spark: SparkSession, sf_dir: str) -> str:
+    """The lineitem study's system as one document, ``system.json``; components and connections stay rows until written."""
+    path = f"{new_folder(spark, 'system')}/system.json"
+    components = t.lineitem_components(spark, sf_dir).select(
+        F.lit(1).alias("part"), F.to_json(F.struct(F.col("component").alias("id"), F.col("model_ref").alias("model"))).alias("item")
+    )
+    connections = t.lineitem_connections(spark, sf_dir)
+    connections = connections.select(F.lit(3).alias("part"), F.to_json(F.struct(*connections.columns)).alias("item"))
+    frame = ['{"system": {"id": "lineitem", "components": [{"id": "first"}', '], "connections": [{"port1": "none"}', "]}}"]
+    frame = spark.createDataFrame(list(zip((0, 2, 4), frame)), "part int, item string")
+    items = components.unionByName(connections).withColumn("item", F.concat(F.lit(","), "item"))
+    lines = items.unionByName(frame).repartitionByRange("part").sortWithinPartitions("part").select("item")
+    folder = f"{path}.parts"
+    lines.coalesce(1).write.text(folder)
+    files, where = file_system(spark, f"{folder}/part-*")
+    files.rename(files.globStatus(where)[0].getPath(), file_system(spark, path)[1])
+    return path
+
+
+def file_system_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of a system document that is read in several tasks."""
+    components, _ = docs.read_system(spark, write_system(spark, sf_dir), large=0)
+    return components.filter("component <> 'first'")
+
+
+def file_system_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Port edges of a system document that is read in several tasks."""
+    _, connections = docs.read_system(spark, write_system(spark, sf_dir), large=0)
+    return vl.port_edges(connections)
+
+
 def read_lineitem_study(spark: SparkSession, path: str) -> vl.Study:
     components, connections = (spark.read.parquet(f"{path}/{n}.parquet") for n in ("components", "connections"))
     return vl.load_study(spark, path, components, connections)

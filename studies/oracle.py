@@ -324,6 +324,8 @@ SELECT 'missing_field', catalog_key || '.' || metric_id, 'terms' FROM metrics m
 FROM sim""",
     "file_filtered": LINEITEM + _FILTERED,
     "file_view": LINEITEM + _VIEW,
+    "file_system_components": LINEITEM + "SELECT component, model_ref FROM comps",
+    "file_system_edges": LINEITEM + "SELECT component, port, peer FROM edges",
     "view_scopes": f"{_SCOPES} SELECT id, category, calendar, grain, 'c' || o_orderstatus AS catalogs FROM scopes",
     "view_scope_violations": f"""{_SCOPES}
 SELECT 'scope_category' AS rule, id AS subject, '' AS detail FROM scopes WHERE category IS NULL

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import viewloom as vl
 from studies import tables as t
-from studies.files import file_filtered, file_simulation, file_view
+from studies.files import file_filtered, file_simulation, file_system_components, file_system_edges, file_view
 from viewloom.operators import checks
 from viewloom.operators.calendar import constant_rows as rows_without_time
 from viewloom.operators.calendar import date_steps as steps_of
@@ -382,5 +382,7 @@ QUERIES = {
         file_simulation,
         file_filtered,
         file_view,
+        file_system_components,
+        file_system_edges,
     )
 }

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -158,11 +159,16 @@ def grouped_values(
     missing = _unmet(links, partial).select(
         *links.keys, "is_avg", *[column.alias(f"_{name}") for name, column in nulls.items()]
     )
-    sums = partial.filter("_link IS NULL") if links.wide else partial
-    rows = sums.select(*missing.columns).unionByName(missing)
+    sums = (partial.filter("_link IS NULL") if links.wide else partial).select(*missing.columns)
+    # The shuffle of the fact pass has summed up every group. Only rows of no grain, those of constants, can meet
+    # rows that are added here, so they alone are grouped again.
+    constant = reduce(Column.__and__, [F.col(f"_{name}").isNull() for name in grain])
     groups = [*links.keys, "is_avg", *(F.col(f"_{name}").alias(name) for name in grain)]
+    value = terms_value(F.col("_total"), F.col("_counted"), F.col("is_avg"))
+    dated = sums.filter(~constant).select(*groups, value.alias("value"), F.col("_date").alias("granular_date"))
     value = terms_value(F.sum("_total"), F.sum("_counted"), F.col("is_avg"))
-    return rows.groupBy(*groups).agg(value.alias("value"), F.max("_date").alias("granular_date"))
+    rest = sums.filter(constant).unionByName(missing).groupBy(*groups)
+    return dated.unionByName(rest.agg(value.alias("value"), F.max("_date").alias("granular_date")))
 
 
 def terms_values(filtered: DataFrame, links: Links, *limits) -> DataFrame:

@@ -33,16 +33,17 @@ def port_edges(connections: DataFrame) -> DataFrame:
     return directed_edges(connections).distinct()
 
 
-def port_peers(connections: DataFrame) -> DataFrame:
-    """One row per connected (component, port): its peer, and whether there are several.
+def port_peers(connections: DataFrame, ports: DataFrame | None = None) -> DataFrame:
+    """One row per connected (component, port): its peer, and whether there are several; of ``ports`` (port) only.
 
     Smallest and largest peer decide that, so a hub with any number of connections
     collapses before the shuffle; its peers are never gathered.
     """
-    return (
-        directed_edges(connections)
-        .groupBy("component", "port")
-        .agg(F.min("peer").alias("peer"), (F.min("peer") != F.max("peer")).alias("ambiguous"))
+    edges = directed_edges(connections)
+    if ports is not None:
+        edges = edges.join(ports, "port", "left_semi")
+    return edges.groupBy("component", "port").agg(
+        F.min("peer").alias("peer"), (F.min("peer") != F.max("peer")).alias("ambiguous")
     )
 
 
@@ -65,14 +66,14 @@ def port_maps(connections: DataFrame, ports: DataFrame) -> DataFrame:
     Only the ports in ``ports`` (port) enter a map, so its size is bounded by the ports that terms name, however
     many a hub has.
     """
-    asked = port_peers(connections).join(ports, "port", "left_semi")
+    asked = port_peers(connections, ports)
     entry = F.struct("port", F.struct("peer", "ambiguous"))
     return asked.groupBy("component").agg(F.map_from_entries(F.collect_set(entry)).alias("peers"))
 
 
 def location_port_names(rows: DataFrame) -> DataFrame:
-    """The distinct ports (port) that ``location_ports`` of some rows name."""
-    return rows.select(F.explode("location_ports").alias("port")).distinct()
+    """The ports (port) that ``location_ports`` of some rows name."""
+    return rows.select(F.explode("location_ports").alias("port"))
 
 
 def locate(rows: DataFrame, keys: list[str], connections: DataFrame, ports: DataFrame | None = None) -> DataFrame:
@@ -85,7 +86,7 @@ def locate(rows: DataFrame, keys: list[str], connections: DataFrame, ports: Data
     ``rows`` tells them.
     """
     named = F.col("location_ports")
-    needed = location_port_names(rows) if ports is None else ports
+    needed = location_port_names(rows).distinct() if ports is None else ports
     found = rows.join(port_maps(connections, needed), "component", "left").withColumn(
         "_asked",
         F.transform(

@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 
 from viewloom.functions import or_empty, parse_ports
 from viewloom.operators.references import latest_definitions
+from viewloom.sources.large_documents import array_items, json_items
+from viewloom.staging import file_system
+
+#: Bytes from which a system document is read in several tasks.
+LARGE_BYTES = 64 << 20
 
 _ITEMS = "array<struct<id: string>>"
 
@@ -22,9 +27,10 @@ taxonomy struct<id: string, description: string, categories: array<struct<
 LIBRARY_DOCUMENT = f"""
 library struct<id: string, description: string, `port-types`: {_ITEMS},
   models: array<struct<id: string, `taxonomy-category`: string>>>"""
-SYSTEM_DOCUMENT = """
-system struct<id: string, components: array<struct<id: string, model: string>>,
-  connections: array<struct<component1: string, port1: string, component2: string, port2: string>>>"""
+COMPONENT = "id: string, model: string"
+CONNECTION = "component1: string, port1: string, component2: string, port2: string"
+SYSTEM_DOCUMENT = f"""
+system struct<id: string, components: array<struct<{COMPONENT}>>, connections: array<struct<{CONNECTION}>>>"""
 CATALOG_DOCUMENT = """
 catalog struct<id: string, taxonomy: string, location: struct<`taxonomy-category`: string>,
   `metrics-definition`: array<struct<id: string,
@@ -88,6 +94,22 @@ def system_tables(document: DataFrame) -> tuple[DataFrame, DataFrame]:
     return components, connections
 
 
+def read_system(spark: SparkSession, path: str, large: int = LARGE_BYTES) -> tuple[DataFrame, DataFrame]:
+    """(component, model_ref) and (component1, port1, component2, port2) of a system document.
+
+    A document of ``large`` bytes or more is read in several tasks; smaller ones are parsed in one.
+    """
+    files, where = file_system(spark, path)
+    if files.getFileStatus(where).getLen() < large:
+        return system_tables(read_document(spark, path, SYSTEM_DOCUMENT))
+    items = json_items(spark, path)
+    components = array_items(items, "components", COMPONENT)
+    return (
+        components.select(F.col("id").alias("component"), F.col("model").alias("model_ref")),
+        array_items(items, "connections", CONNECTION),
+    )
+
+
 def catalog_tables(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Catalogs, metrics and terms of documents that carry their ``catalog_key``.
 

@@ -114,9 +114,9 @@ def load_study(
 
     Documents are ``view_config``, ``taxonomy``, ``library``, ``system`` and
     ``catalogs/<id>``, all ``.json``; the calendar is ``<calendar id>.csv`` and the fact
-    table the one ``simulation_table*.parquet``. A document is parsed in one task, so a
-    system of many millions of components should come as tables instead: pass
-    ``components`` and ``connections`` and ``system`` is not read.
+    table the one ``simulation_table*.parquet``. A large system document is read in several
+    tasks; a system may also come as tables: pass ``components`` and ``connections`` and
+    ``system`` is not read.
     """
     path = path.rstrip("/")
     view_document = docs.read_document(spark, f"{path}/view_config.json", docs.VIEW_DOCUMENT)
@@ -125,8 +125,7 @@ def load_study(
         docs.read_document(spark, f"{path}/taxonomy.json", docs.TAXONOMY_DOCUMENT)
     )
     if components is None or connections is None:
-        system = docs.read_document(spark, f"{path}/system.json", docs.SYSTEM_DOCUMENT)
-        read_components, read_connections = docs.system_tables(system)
+        read_components, read_connections = docs.read_system(spark, f"{path}/system.json")
         components = read_components if components is None else components
         connections = read_connections if connections is None else connections
     catalogs, metrics, terms = docs.catalog_tables(
