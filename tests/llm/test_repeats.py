@@ -4,8 +4,10 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
+from viewloom.llm import repeats
 from viewloom.llm.substring_dedup import remove_repeated_passages
 from viewloom.llm.suffix_dedup import remove_repeated_strings
 
@@ -107,3 +109,27 @@ def test_rows_without_any_repeat_keep_their_text(spark):
     docs = [(1, "one two  three"), (2, "four")]
     got = remove_repeated_passages(spark.createDataFrame(docs, SCHEMA)).collect()
     assert {r.doc_id: (r.n_removed, r.kept) for r in got} == {1: (0, "one two three"), 2: (0, "four")}
+
+
+@pytest.mark.parametrize("bits", [6, 8, 10])
+def test_seeds_of_long_texts_are_the_same_in_segments(monkeypatch, bits):
+    """A text of more symbols than positions have bits for is looked at in overlapping segments."""
+    rng = np.random.default_rng(bits)
+    shape = repeats.Shape(40, 9, (1,))
+    bounds = np.array([0, 30, 30, 2500, 2510, 5000])
+    seeds = rng.integers(0, 200, 4992).astype(np.uint64)  # ties: the first of equal ones
+    want = repeats.seeds_of_windows(seeds, bounds, shape)
+    monkeypatch.setattr(repeats, "POSITION_BITS", bits)
+    got = repeats.seeds_of_windows(seeds, bounds, shape)
+    assert len(want[0]) > 4000 and all((a == b).all() for a, b in zip(want, got))
+    assert ((got[1] >= got[0]) & (got[1] < got[0] + shape.offsets)).all()
+
+
+def test_thousands_of_copies_of_one_row_give_one_list_of_windows(spark):
+    """Copies of one row share id and text; what is gathered for them does not grow with their number."""
+    text = " ".join(f"w{i}" for i in range(120))
+    rows = [(1, text)] * 5 + [(2, text)] + [(3, text)] * 5000 + [(4, "short")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = remove_repeated_passages(df, window=50, with_text=False).select("doc_id", "n_words", "n_removed")
+    assert {tuple(r) for r in got.distinct().collect()} == {(1, 120, 0), (2, 120, 120), (3, 120, 120), (4, 1, 0)}
+    assert got.count() == len(rows)

@@ -88,12 +88,16 @@ def seeds_of_windows(seeds: np.ndarray, bounds: np.ndarray, shape: Shape) -> tup
     """Starts of all whole windows, and the position of each one's seed, given what each position's seed would be."""
     if len(seeds) < shape.offsets:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    low = np.uint64(POSITION_BITS)
-    order = (mix(seeds) >> low << low) | np.arange(len(seeds), dtype=np.uint64)
-    least = sliding_min(order, shape.offsets)
-    starts = np.arange(len(least))
-    whole = starts + shape.length <= bounds[1:][owners(bounds)[: len(least)]]
-    return starts[whole], (least[whole] & np.uint64((1 << POSITION_BITS) - 1)).astype(np.int64)
+    low, most = np.uint64(POSITION_BITS), 1 << POSITION_BITS
+    anchors = []
+    for first in range(0, len(seeds) - shape.offsets + 1, most - shape.offsets + 1):  # positions must fit their bits
+        part = seeds[first : first + most]
+        order = (mix(part) >> low << low) | np.arange(len(part), dtype=np.uint64)
+        anchors.append((sliding_min(order, shape.offsets) & np.uint64(most - 1)).astype(np.int64) + first)
+    anchors = np.concatenate(anchors)
+    starts = np.arange(len(anchors))
+    whole = starts + shape.length <= bounds[1:][owners(bounds)[: len(anchors)]]
+    return starts[whole], anchors[whole]
 
 
 def extents(anchor: np.ndarray, block: np.ndarray, step: int, shape: Shape):
@@ -332,7 +336,7 @@ def repeated_windows(
             )
         )
     windows = results[0] if len(results) == 1 else results[0].unionByName(results[1])
-    windows = windows.groupBy("doc", "key").agg(F.collect_list(F.struct("low", "high")).alias("windows"))
+    windows = windows.groupBy("doc", "key").agg(F.collect_set(F.struct("low", "high")).alias("windows"))
     return staging.write(windows.mapInArrow(_merged(shape.length), REGIONS), "regions")
 
 
