@@ -107,3 +107,49 @@ def test_mixed_documents_and_edge_cases(spark, rows):
     assert mix_sources(docs.limit(0)).collect() == []
     nothing = mix_sources(spark.createDataFrame([(1, None, None), (None, "", "a")], "doc_id long, text string, source string"))
     assert sorted((r.size, r.target, r.taken) for r in nothing.collect()) == [(0, 0.0, 0), (0, 0.0, 0)]
+
+
+def plain_tilt(sizes, priors, target, most=3):
+    """The tilt at which min(most, prior x exp(tilt)) meets the target, by halving an interval."""
+    low, high = -60.0, 60.0
+    for _ in range(300):
+        middle = (low + high) / 2
+        taken = (sizes * np.minimum(most, priors * np.exp(middle))).sum()
+        low, high = (middle, high) if taken < target else (low, middle)
+    return high
+
+
+def test_limits_that_bind_take_the_tilt_from_the_closed_form(spark):
+    rng = np.random.default_rng(8)
+    rows = [(s, int(n), float(q)) for s, spread in (("a", 0.1), ("b", 3.0), (None, 6.0))
+            for n, q in zip(rng.integers(1, 3000, 400), np.exp(rng.normal(0, spread, 400)))]
+    rows += [("a", 900, 0.0), ("z", 5, 0.0), ("b", 0, 2.0)]
+    df = spark.createDataFrame(rows, "source string, size long, prior double").repartition(5)
+    found = {r.source: r for r in source_targets(df, Staging(spark, "test")).collect()}
+    assert found["z"].target == 0 and found["z"].tilt is None
+    differ = 0
+    for s in ("a", "b", None):
+        sizes, priors = np.array([r[1:] for r in rows if r[0] == s and r[2] > 0]).T
+        taken = (sizes * np.minimum(3, priors * np.exp(found[s].tilt))).sum()
+        assert taken == pytest.approx(found[s].target, rel=1e-8)
+        if found[s].target < 2.999 * sizes.sum():
+            assert found[s].tilt == pytest.approx(plain_tilt(sizes, priors, found[s].target), abs=1e-6)
+            differ += abs(found[s].tilt - np.log(found[s].target / (sizes * priors).sum())) > 0.1
+    assert differ  # without the limit the tilt would be the logarithm of a quotient
+
+
+def test_priors_shape_the_copies(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, "w " * int(n), "ab"[i % 2], [0.2, 1.0, 5.0][i % 3], None) for i, n in enumerate(rng.integers(20, 90, 3000))]
+    rows += [(4000, "w w", "a", None, 1), (4001, "w " * 50, "a", 0.0, 1), (4002, "w w", "b", float("nan"), 1), (4003, "w", "b", -1.0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, q double, prior int")
+    got = {r.doc_id: r for r in mix_sources(docs, prior="q").collect()}
+    assert len(got) == len(rows) and [got[i].copies for i in (4001, 4002, 4003)] == [0, 0, 0]
+    for s in "ab":
+        mine = [r for r in got.values() if r.source == s]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 200
+        copies = [np.mean([got[i].copies for i in range(3000) if "ab"[i % 2] == s and i % 3 == k]) for k in range(3)]
+        assert copies[0] < copies[1] < copies[2]
+    again = mix_sources(docs.repartition(3), prior="q").collect()
+    assert sorted(map(str, got.values())) == sorted(map(str, again))
+    assert mixed_documents(docs, prior="q").where("doc_id > 4000").count() == 0
