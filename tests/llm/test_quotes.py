@@ -7,6 +7,7 @@ import pytest
 
 from viewloom.llm import quotes
 from viewloom.llm.quotes import reply_conversations
+from viewloom.llm.shared import Staging
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 
@@ -94,3 +95,28 @@ def test_edge_cases(spark):
 def test_no_python_in_the_plan(spark):
     df = reply_conversations(spark.createDataFrame([(1, 0, "u", "a"), (1, 1, "u", "> a\nb")], SCHEMA))
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_deeply_nested_branches_take_few_rounds(spark, monkeypatch):
+    deep = 100
+    branches = [(1, 0, None, None)] + [(1, 2 * k, 2 * k - 2, 2 * k - 2) for k in range(1, deep + 1)] + [(2, 5, None, None), (2, 9, 6, 5)]
+    df = spark.createDataFrame(branches, "conv_id long, branch long, reply_to long, parent_branch long").repartition(4)
+    writes, write = [], Staging.write
+    monkeypatch.setattr(Staging, "write", lambda self, table, name: writes.append(name) or write(self, table, name))
+    got = {(r.conv_id, r.branch): [tuple(s) for s in r.path] for r in quotes._paths(df, Staging(spark, "test")).collect()}
+    assert got == {
+        **{(1, 2 * k): [(-(2 * j - 2), 2 * j) for j in range(1, k + 1)] for k in range(deep + 1)},
+        (2, 5): [],
+        (2, 9): [(-6, 9)],
+    }
+    assert len(writes) <= 9  # the first, and a round for each doubling
+
+
+def test_a_message_may_quote_within_a_branch_of_a_branch(spark):
+    texts = [f"message number {i}" if i % 2 or i == 0 else f"> message number {i - 2}\nmessage number {i}" for i in range(24)]
+    rows = [(7, i, "user", text) for i, text in enumerate(texts)]
+    got = reply_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    for r in got:
+        k = r.turn // 2
+        assert r.branch == 2 * k if k else r.branch == 0
+        assert [tuple(s) for s in r.path] == [(-(2 * j - 2), 2 * j) for j in range(1, k + 1)]

@@ -77,24 +77,23 @@ def _before(turns: DataFrame, value: str, staging: Staging) -> DataFrame:
 
 
 def _paths(branches: DataFrame, staging: Staging) -> DataFrame:
-    """``conv_id``, ``branch``, ``path`` of branches given with ``parent_branch`` and ``reply_to``, level by level.
+    """``conv_id``, ``branch``, ``path`` of branches given with ``parent_branch`` and ``reply_to``.
 
     A path has a step (-reply_to, branch) for each branch from the first on. Sorted by path and turn, a
-    branch is followed by the branches that reply to it, those to later messages first.
+    branch is followed by the branches that reply to it, those to later messages first. Each round
+    puts the path up to where a branch's path begins in front of it, so paths double and branches nested
+    n deep take log2(n) rounds.
     """
     none = F.array().cast("array<struct<back: bigint, branch: bigint>>")
-    level = branches.where("parent_branch IS NULL").select("conv_id", "branch", none.alias("path"))
-    level = staging.write(level, "level")
-    done = level
-    while True:
-        above = level.select("conv_id", F.col("branch").alias("parent_branch"), "path")
-        step = F.struct((-F.col("reply_to")).alias("back"), F.col("branch").alias("branch"))
-        level = branches.join(above, ["conv_id", "parent_branch"])
-        level = level.select("conv_id", "branch", F.concat("path", F.array(step)).alias("path"))
-        level = staging.write(level, "level")
-        if level.isEmpty():
-            return done
-        done = done.unionByName(level)
+    step = F.array(F.struct((-F.col("reply_to")).alias("back"), F.col("branch").alias("branch")))
+    own = F.when(F.col("parent_branch").isNull(), none).otherwise(step)
+    paths = staging.write(branches.select("conv_id", "branch", F.col("parent_branch").alias("up"), own.alias("path")), "paths")
+    while not paths.where("up IS NOT NULL").isEmpty():
+        above = paths.select("conv_id", F.col("branch").alias("up"), F.col("path").alias("before"), F.col("up").alias("further"))
+        longer = paths.join(above, ["conv_id", "up"], "left")
+        path = F.concat(F.coalesce("before", none), "path")
+        paths = staging.write(longer.select("conv_id", "branch", F.col("further").alias("up"), path.alias("path")), "paths")
+    return paths.drop("up")
 
 
 def reply_conversations(messages: DataFrame) -> DataFrame:
