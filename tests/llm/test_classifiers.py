@@ -75,6 +75,23 @@ def test_quality_edge_cases(spark, documents):
     assert quality.keep_good(docs, forest).columns == docs.columns
 
 
+def test_copies_of_one_row_neither_outweigh_nor_reach_the_driver(spark, documents, monkeypatch):
+    docs = spark.createDataFrame(documents, DOCS)
+    copies = docs.where("doc_id = 7").crossJoin(spark.range(10_000)).drop("id")
+    labels = spark.createDataFrame([(r[0], int("$" not in r[1])) for r in documents], "doc_id long, quality int")
+    grown, grow = [], quality.grow
+    monkeypatch.setattr(quality, "grow", lambda x, y: grown.append(len(y)) or grow(x, y))
+    plain, hot = quality.train(docs, labels), quality.train(docs.unionByName(copies), labels)
+    assert grown[0] == grown[1] <= len(documents)
+    assert np.array_equal(plain.threshold, hot.threshold) and np.array_equal(plain.value, hot.value)
+
+    fitted, fit = [], language.fit
+    monkeypatch.setattr(language, "fit", lambda names, counts, *more: fitted.append(len(names)) or fit(names, counts, *more))
+    plain, hot = language.train(docs), language.train(docs.unionByName(copies))
+    assert fitted[0] == fitted[1] <= len(documents)
+    assert np.array_equal(plain.centroids, hot.centroids)
+
+
 def test_flat_forest_equals_a_plain_walk():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(400, 6))

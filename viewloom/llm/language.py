@@ -2,7 +2,8 @@
 
 A text is a vector of its letter 1- to 3-grams, hashed into ``WIDTH`` cells, as normalised TF-IDF. Each
 language has up to ``clusters`` centroids, found by spherical k-means on a bounded sample of labelled
-rows (``max_rows`` in expectation, spread evenly over the languages, chosen by a hash of id and text).
+rows (``max_rows`` in expectation, spread evenly over the languages, chosen by a hash of id and text; rows that
+repeat both are one row).
 The nearest centroid names the language; a text further from it than nearly all texts that it was
 learnt from is rejected.
 """
@@ -124,11 +125,12 @@ def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, divisor: int = 4, held_out: int = 2, max_rows: int = MAX_ROWS, clusters: int = CLUSTERS) -> Model:
     """A model learnt from text and non-null lang of rows whose crc32(doc_id as text) mod 4 is not 2."""
     known = docs.where((remainder("doc_id", divisor) != held_out) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("doc_id", "text"), 0.01).alias("n")).collect()
     shares = [(r["lang"], max_rows / len(sizes) / r["n"]) for r in sizes]
     shares = docs.sparkSession.createDataFrame(shares, "lang string, share double")
     chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = known.join(F.broadcast(shares), "lang").where(chance < F.col("share"))
+    sample = sample.select("doc_id", "lang", "text").distinct()
     rows = sample.select("lang", "text").mapInArrow(_training, "lang string, counts binary").toArrow()
     names = np.array(rows.column("lang").to_pylist(), dtype=object)
     counts = np.frombuffer(b"".join(rows.column("counts").to_pylist()), np.float32).reshape(-1, WIDTH).astype(np.float64)

@@ -2,7 +2,7 @@
 
 Statistics are computed in one pass of vectorised tasks. Trees are grown from histograms of at most 64
 bins a statistic, on a bounded sample of labelled rows (``max_rows``, the smallest hashes of the id,
-so the same rows every time). A forest is four flat arrays; all trees are walked at once, one level
+so the same rows every time; an id that is repeated gives one row). A forest is four flat arrays; all trees are walked at once, one level
 of all of them a step.
 """
 
@@ -184,21 +184,23 @@ def remainder(doc_id: str, divisor: int) -> Column:
 def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in blocks(batches):
         x = statistics(block)
-        yield pa.RecordBatch.from_arrays(
-            [block.rows.column("label"), pa.array([row.tobytes() for row in x], pa.binary())], ["label", "x"]
-        )
+        kept = [block.rows.column(n) for n in ("doc_id", "label")]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array([row.tobytes() for row in x], pa.binary())], ["doc_id", "label", "x"])
 
 
 def train(docs: DataFrame, labels: DataFrame, held_out: int = 5, max_rows: int = MAX_ROWS) -> Forest:
     """A forest learnt from labelled documents whose crc32(doc_id as text) mod ``held_out`` is not 0.
 
-    Where an id has several labels the smallest counts. At most ``max_rows`` ids are learnt from.
+    Where an id has several labels the smallest counts. At most ``max_rows`` ids are learnt from, one row of
+    each, so no number of repeated rows outweighs the others or reaches the driver.
     """
     known = labels.where((remainder("doc_id", held_out) != 0) & F.col("quality").isin(0, 1))
     known = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "label")
-    rows = texts.mapInArrow(_training, "label int, x binary").toArrow()
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    texts = texts.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "label")
+    found = texts.mapInArrow(_training, "doc_id string, label int, x binary")
+    rows = found.groupBy("doc_id", "label").agg(F.min("x").alias("x")).toArrow()
     x = np.frombuffer(b"".join(rows.column("x").to_pylist()), np.float64)
     x = x.reshape(rows.num_rows, -1) if rows.num_rows else np.zeros((0, 1))
     y = np.asarray(rows.column("label").to_numpy(), np.float64)
