@@ -12,11 +12,6 @@ from viewloom.staging import new_folder, remove
 #: A side of a join is broadcast up to this many estimated bytes; beyond it both sides are shuffled.
 BROADCAST_BYTES = 32 << 20
 
-#: Texts go to Python in batches of about so many bytes, unless the session says otherwise. Spark's own 64 MiB are buffers
-#: outside the heap, of which each task thread's allocator keeps some.
-BATCH_BYTES = 4 << 20
-BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
-
 
 class Staging:
     """Tables of one operator call, written to the shared folder and read back.
@@ -29,8 +24,6 @@ class Staging:
         self.spark = spark
         self.root = new_folder(spark, name)
         self.repeated = None
-        if BATCH_SETTING not in spark.conf.getAll:
-            spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
