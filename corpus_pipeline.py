@@ -12,6 +12,11 @@ from viewloom.llm.near_dedup import one_of_each
 from viewloom.llm.secret_scan import mask_secrets
 from viewloom.llm.shared import Staging
 
+#: Texts go to Python in batches of about so many bytes. Spark's own 64 MiB are buffers outside the heap, of which the
+#: allocator of each task thread keeps some from stage to stage.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 #: Gradient-boosted trees, minhash groups and decoding layers have no SQL; tests compare with plain forms.
@@ -59,6 +64,11 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table; what each returns is written and read again."""
     staging = Staging(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = staging.write(stage(spark, docs, sf_dir), name.split()[0])
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        for name, stage in STAGES:
+            docs = staging.write(stage(spark, docs, sf_dir), name.split()[0])
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
     return docs
