@@ -12,8 +12,8 @@ from viewloom.llm.near_dedup import one_of_each
 from viewloom.llm.secret_scan import mask_secrets
 from viewloom.llm.shared import Staging
 
-#: Texts go to Python in batches of about so many bytes. Spark's own 64 MiB are buffers outside the heap, of which the
-#: allocator of each task thread keeps some from stage to stage.
+#: Stages send texts to Python in batches of about so many bytes, unless the session sets another size. Spark's own 64 MiB
+#: are buffers outside the heap, of which the allocator of each task thread keeps some from stage to stage.
 BATCH_BYTES = 4 << 20
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -23,14 +23,21 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 ORACLE_SQL = None
 
 
+def _bounded_batches(spark: SparkSession) -> None:
+    if BATCH_SETTING not in spark.conf.getAll:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learnt from the labels of documents not held out, does not reject."""
+    _bounded_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.keep_good(docs.select(*COLUMNS), quality.train(docs, labels), threshold=0.3)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id."""
+    _bounded_batches(spark)
     return one_of_each(docs.select(*COLUMNS), percent=85)
 
 
@@ -42,6 +49,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets masked; n_chars follows the text."""
+    _bounded_batches(spark)
     masked = mask_secrets(docs.select(*COLUMNS), "[secret]")
     return masked.withColumn("n_chars", F.length("text").cast("long"))
 
@@ -64,11 +72,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table; what each returns is written and read again."""
     staging = Staging(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    before = spark.conf.get(BATCH_SETTING)
-    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
-    try:
-        for name, stage in STAGES:
-            docs = staging.write(stage(spark, docs, sf_dir), name.split()[0])
-    finally:
-        spark.conf.set(BATCH_SETTING, before)
+    for name, stage in STAGES:
+        docs = staging.write(stage(spark, docs, sf_dir), name.split()[0])
     return docs
