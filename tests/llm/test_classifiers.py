@@ -92,6 +92,21 @@ def test_copies_of_one_row_neither_outweigh_nor_reach_the_driver(spark, document
     assert np.array_equal(plain.centroids, hot.centroids)
 
 
+def test_very_long_texts_are_read_whole(spark, documents):
+    rng = random.Random(6)
+    german, english = (" ".join(rng.choice(WORDS[x].split()) for _ in range(200_000)) for x in ("de", "en"))
+    rows = [(1, english[:2000] + german, None, "s"), (2, german[:2000] + english, None, "s"), (3, "light $$$", None, "s")]
+    long = spark.createDataFrame(rows, DOCS)
+    got = language.predict(long, language.train(spark.createDataFrame(documents, DOCS))).collect()
+    assert [r.lang_pred for r in got[:2]] == ["de", "en"]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[1] for r in rows])], ["text"])
+    together = np.concatenate([quality.statistics(b) for b in blocks(iter([batch]), size=1 << 30)])
+    alone = np.concatenate([quality.statistics(b) for b in blocks(iter([batch]), size=1)])
+    assert np.allclose(together, alone)
+    words = [len(r[1].split()) for r in rows]
+    assert np.allclose(together[:, :2], [[np.log1p(len(r[1])), np.log1p(n)] for r, n in zip(rows, words)])
+
+
 def test_flat_forest_equals_a_plain_walk():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(400, 6))

@@ -78,3 +78,13 @@ def test_empty_table_and_clashing_columns(spark):
     schema = "doc_id long, text string, doc int, node int, root int, a int, kept string"
     assert answer(spark, [], schema) == []
     assert answer(spark, [(2, "x", 1, 1, 1, 1, "k"), (1, "X", 1, 1, 1, 1, "k")], schema) == [(1, 1, 1, True), (2, 1, 1, False)]
+
+
+def test_very_long_texts_are_read_whole(spark):
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(50_000)}" for _ in range(100_000)]
+    near = list(words)
+    for _ in range(500):
+        near[rng.randrange(len(near))] = "edit"
+    rows = [(3, " ".join(words)), (2, " ".join(near)), (1, " ".join(words[:2000])), (4, " ".join(words[:50_000]))]
+    assert answer(spark, rows) == brute(rows)

@@ -168,7 +168,8 @@ def predict(docs: DataFrame, model: Model, divisor: int = 4, held_out: int = 2)
     whose cosine is below that of nearly all texts of the centroid's cluster.
 
     One row per row of ``docs`` (doc_id, text; other columns are ignored). A null id is not held out.
-    Repeated rows are predicted alike; an empty table gives an empty result.
+    Repeated rows are predicted alike; an empty table gives an empty result. A text of any length is one vector and is
+    read whole, in memory of about 25 bytes a byte of the longest one.
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
