@@ -47,7 +47,7 @@ LIBRARY = {
     ],
 }
 SYSTEM = {
-    "id": "two_bus",
+    "id": "two_bus_example",
     "components": [
         {"id": component, "model": f"pypsa_models.{model}"}
         for component, model in {
