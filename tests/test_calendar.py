@@ -138,3 +138,22 @@ def test_read_calendar(spark, tmp_path, two_bus_dir):
     days = tmp_path / "days.csv"
     days.write_text("absolute_time_index,block,granular_date\n0,B1,2025-01-01\n")
     assert tuple(read_calendar(spark, str(days)).first()) == (0, "B1", START)
+
+
+def test_dates_past_year_9999_are_checked(spark):
+    # Daily dates from 1995 reach beyond Python's last year; the check must not bring them to the driver.
+    def daily(keys):
+        return keys.select(
+            F.col("id").alias("absolute_time_index"),
+            F.lit("1").alias("block"),
+            F.expr("cast(date_add(date'1995-01-01', cast(id as int)) as timestamp_ntz)").alias("granular_date"),
+        )
+
+    gapped = daily(spark.range(5_999_990, 6_000_010).filter("id % 1000 <> 7"))
+    assert rules(gapped) == ["calendar_index"]
+    whole = daily(spark.range(0, 6_000_000, 1, 4))
+    assert rules(whole) == []
+    uneven = whole.withColumn(
+        "granular_date", F.expr("granular_date - make_dt_interval(0, 0, 0, cast(absolute_time_index % 7 = 3 as int))")
+    )
+    assert rules(uneven) == ["calendar_step"]

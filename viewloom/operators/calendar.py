@@ -143,17 +143,19 @@ def calendar_violations(calendar: DataFrame) -> DataFrame:
     steps that exist are found by a join.
     """
     index, date = F.col("absolute_time_index"), F.col("granular_date")
+    # Dates stay in Spark: only microsecond counts reach the driver, as Python's dates end at year 9999.
+    epoch = F.lit("1970-01-01").cast(calendar.schema["granular_date"].dataType)
+    micros = F.timestamp_diff("MICROSECOND", epoch, date)
     known = calendar.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count(date).alias("dates"),
         F.countDistinct(index).alias("indexes"),
         F.min(index).alias("first"),
         F.max(index).alias("last"),
-        F.min_by(date, index).alias("low"),
-        F.max_by(date, index).alias("high"),
+        F.min_by(micros, index).alias("low"),
+        F.max_by(micros, index).alias("high"),
     )
-    span = F.timestamp_diff("MICROSECOND", F.col("low"), F.col("high"))
-    known = known.withColumn("span", span).first()
+    known = known.withColumn("span", F.col("high") - F.col("low")).first()
     rows = known["rows"]
     contiguous = rows == 0 or (known["indexes"], known["first"], known["last"]) == (rows, 0, rows - 1)
     if not contiguous or known["dates"] < rows:
@@ -164,8 +166,7 @@ def calendar_violations(calendar: DataFrame) -> DataFrame:
         even = True
     else:
         step, rest = divmod(known["span"], rows - 1)
-        first = F.lit(known["low"]).cast(calendar.schema["granular_date"].dataType)
-        off = F.timestamp_diff("MICROSECOND", first, date) != index * F.lit(step)
+        off = micros - F.lit(known["low"]) != index * F.lit(step)
         even = rest == 0 and calendar.filter(off).isEmpty()
     found = []
     if not contiguous:
