@@ -234,26 +234,52 @@ def _pieces(data: bytes, at: int) -> Iterator[bytes]:
     return (data[i : i + OVERLAP] for i in range(at, len(data), OVERLAP))
 
 
+def _from(source, at: int) -> Iterator[bytes]:
+    """The stream that ``source()`` gives, from byte ``at`` on."""
+    for piece in source():
+        if at < len(piece):
+            yield piece[at:]
+        at = max(0, at - len(piece))
+
+
 def _unpacked(data: bytes) -> Iterator[bytes]:
-    """Windows of all that packed data anywhere in ``data`` unpacks to, and of what that unpacks to in turn."""
-    seen, todo = set(), [_pieces(data, m.start()) for m in PACKED.finditer(data)]
+    """Windows of all that packed data anywhere in ``data`` unpacks to, and of what that unpacks to in turn.
+
+    Sources are kept as ways to make their pieces, so that packed data inside large unpacked data is
+    unpacked again from its place, whatever its size, without holding what comes before it.
+    """
+    seen = set()
+    todo = [lambda at=m.start(): _pieces(data, at) for m in PACKED.finditer(data)]
     while todo:
-        stream = _streamed(todo.pop())
+        source = todo.pop()
+        stream = _streamed(source())
         first = b""
         while len(first) < WINDOW and (piece := next(stream, None)) is not None:
             first += piece
-        if len(first) >= WINDOW and not PACKED.match(first):
-            yield from _windows(chain([first], stream))
-            continue
         mark = hashlib.blake2b(first, digest_size=16).digest()
         if mark in seen:  # data that unpacks to itself
             continue
         seen.add(mark)
         if len(first) < WINDOW:
             yield first
-            todo += [_pieces(first, m.start()) for m in PACKED.finditer(first)]
-        else:
-            todo.append(chain([first], stream))
+            todo += [lambda first=first, at=m.start(): _pieces(first, at) for m in PACKED.finditer(first)]
+            continue
+        unpacked = lambda source=source: _streamed(source())
+        done, nested = 0, set()
+        for window in _windows(_counted(chain([first], stream), counter := [0])):
+            start = counter[0] - len(window)
+            yield window
+            for m in PACKED.finditer(window, max(0, done - start)):
+                if start + m.start() not in nested:
+                    nested.add(start + m.start())
+                    todo.append(lambda unpacked=unpacked, at=start + m.start(): _from(unpacked, at))
+            done = max(done, counter[0] - 8)  # a mark cut at the end is whole in the next window
+
+
+def _counted(pieces: Iterator[bytes], counter: list[int]) -> Iterator[bytes]:
+    for piece in pieces:
+        counter[0] += len(piece)
+        yield piece
 
 
 def _worth(text: str) -> bool:
